@@ -362,6 +362,139 @@ def q_run_summary(spark, d):
     return scaling.run_summary(b, pr)
 
 
+
+
+# ------------------------------------------------------------------ tier B: more centrality
+
+
+def _weighted(col):
+    def q(spark, d):
+        from odgraph.graph import Graph
+
+        el = pipe(spark, d).edge_list
+        return _r6(rank.pagerank(Graph.from_edge_list(el, weight=col), weight="weight"), "pagerank")
+
+    q.__doc__ = f"G5: PageRank with transition weights ∝ {col}."
+    return q
+
+
+q_pagerank_weighted_trips = _weighted("trip_count")
+q_pagerank_weighted_fare = _weighted("total_fare")
+q_pagerank_weighted_tip = _weighted("total_tip")
+
+
+def q_hits(spark, d):
+    return _r6(pipe(spark, d).hits, "hub", "authority")
+
+
+def q_pagerank_tol(spark, d):
+    return _r6(rank.pagerank_to_tolerance(pipe(spark, d).graph), "pagerank")
+
+
+def q_degree_vs_rank(spark, d):
+    pp = pipe(spark, d)
+    return _r6(rank.degree_vs_rank(pp.degrees, pp.ranks), "pagerank")
+
+
+def q_degree_rank_corr(spark, d):
+    pp = pipe(spark, d)
+    return _r6(rank.degree_rank_correlation(pp.degrees, pp.ranks), "degree_corr", "strength_corr")
+
+
+def _zones(spark, d):
+    return io.zones_from_nations(pipe(spark, d).ranks, table(spark, d, "nation"), table(spark, d, "region"))
+
+
+def q_zone_names(spark, d):
+    return _r6(io.attach_zone_names(pipe(spark, d).ranks, _zones(spark, d)), "pagerank")
+
+
+def q_zone_lookup_csv(spark, d):
+    from odgraph.session import scratch_path
+
+    path = io.write_csv(_zones(spark, d), scratch_path(spark, "zone_lookup"))
+    return io.read_zone_lookup(spark, path)
+
+
+def q_zone_kmeans(spark, d):
+    from odgraph.operators import zones
+
+    pp = pipe(spark, d)
+    return zones.zone_kmeans(zones.zone_features(pp.ranks, pp.degrees, pp.hits)).select("zone_id", "cluster")
+
+
+def q_louvain(spark, d):
+    from odgraph.operators import louvain
+
+    return louvain.louvain(pipe(spark, d).edge_list).select("zone_id", "community_id")
+
+
+def q_louvain_modularity(spark, d):
+    from odgraph.operators import louvain
+
+    pp = pipe(spark, d)
+    lv = louvain.louvain(pp.edge_list).select("zone_id", "community_id")
+    return _r6(community.modularity(pp.edge_list, lv), "modularity")
+
+
+# ------------------------------------------------------------------ tier C: paths, time, streams
+
+
+def q_hop_distance(spark, d):
+    from odgraph.operators import paths
+
+    return _r6(paths.hop_distance(pipe(spark, d).edge_list), "distance")
+
+
+def _prof(df):
+    return round_cols(df, {"total_fare": 2, "avg_fare": 6, "total_tip": 2, "avg_distance": 6})
+
+
+def q_monthly_profile(spark, d):
+    from odgraph.operators import temporal
+
+    return _prof(temporal.monthly_profile(pipe(spark, d).clean))
+
+
+def q_weekday_profile(spark, d):
+    from odgraph.operators import temporal
+
+    return _prof(temporal.weekday_profile(pipe(spark, d).clean))
+
+
+def q_edges_by_month(spark, d):
+    from odgraph.operators import temporal
+
+    return round_cols(temporal.edges_by_month(pipe(spark, d).clean), {"total_fare": 4})
+
+
+def _window_out(df):
+    return round_cols(
+        df.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "src", "dst",
+                  "trip_count", "total_fare"),
+        {"total_fare": 4},
+    )
+
+
+def q_edges_by_window(spark, d):
+    from odgraph.operators import temporal
+
+    return _window_out(temporal.edges_by_window(pipe(spark, d).clean))
+
+
+def q_stream_edges(spark, d):
+    from odgraph.session import scratch_path
+    from odgraph.sources.trips import trips_from_lineitem
+    from odgraph.streaming import edges as sedges
+
+    out = scratch_path(spark, "stream_edges")
+    sedges.run_stream_edges(
+        spark, d, out, scratch_path(spark, "stream_ckpt"),
+        schema=table(spark, d, "lineitem").schema, transform=trips_from_lineitem, glob="lineitem.parquet",
+    )
+    return _window_out(sedges.read_stream_result(spark, out))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -197,3 +197,39 @@ def rank_concentration(ranks: DataFrame, ks=(10, 20, 50), p: Params = DEFAULTS)
         "power_law", F.col(f"top{ks[0]}_pct") > F.lit(p.power_law_share)
     )
 
+
+
+def degree_vs_rank(degrees: DataFrame, ranks: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """Position by total degree vs position by PageRank, per zone.
+
+    Answers "why PageRank rather than degree centrality": zones whose rank
+    position differs most from their degree position are those whose
+    neighbours' importance, not their own connection count, decides.
+    """
+    from odgraph.plans.prefix import ranked_prefix
+
+    j = degrees.select("zone_id", (F.col("out_degree") + F.col("in_degree")).alias("total_degree")).join(
+        ranks, "zone_id"
+    )
+    n = j.count()
+    by_deg = ranked_prefix(j, "total_degree", "zone_id", n, p).select(
+        "zone_id", "total_degree", "pagerank", F.col("pos").alias("degree_pos")
+    )
+    by_rank = ranked_prefix(j.select("zone_id", "pagerank"), "pagerank", "zone_id", n, p).select(
+        "zone_id", F.col("pos").alias("rank_pos")
+    )
+    return by_deg.join(by_rank, "zone_id").withColumn(
+        "pos_diff", F.col("degree_pos") - F.col("rank_pos")
+    )
+
+
+def degree_rank_correlation(degrees: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Pearson correlation of total degree / strength with PageRank."""
+    j = degrees.join(ranks, "zone_id")
+    return j.agg(
+        F.corr((F.col("out_degree") + F.col("in_degree")).cast("double"), F.col("pagerank")).alias("degree_corr"),
+        F.corr((F.col("out_strength") + F.col("in_strength")).cast("double"), F.col("pagerank")).alias(
+            "strength_corr"
+        ),
+        F.count(F.lit(1)).alias("num_zones"),
+    )

@@ -296,3 +296,77 @@ SQL["sweep_counts"] = with_(
   (SELECT COUNT(*) FROM hb WHERE h < g.pct AND ok) AS cleaned_rows,
   (SELECT COUNT(*) FROM first_seen WHERE h0 < g.pct) AS edges
 FROM grid g"""
+
+# ------------------------------------------------------------------ tier B
+for _key, _col in (("trips", "trip_count"), ("fare", "total_fare"), ("tip", "total_tip")):
+    SQL[f"pagerank_weighted_{_key}"] = with_(*GRAPH, pagerank_cte(weight=_col, name="wpr"), recursive=True) + (
+        "SELECT zone_id, ROUND(pagerank, 6) AS pagerank FROM wpr"
+    )
+
+HITS = """h(it, id, hub, auth) AS (
+  SELECT 0, id, 1.0::DOUBLE, 1.0::DOUBLE FROM v
+  UNION ALL
+  SELECT p.it + 1, p.id, COALESCE(hh.x, 0), p.a FROM (
+    SELECT h0.it, v.id, COALESCE(SUM(g.hub), 0) AS a
+    FROM v CROSS JOIN (SELECT DISTINCT it FROM h) h0
+    LEFT JOIN edges e ON e.dst = v.id LEFT JOIN h g ON g.id = e.src
+    WHERE h0.it < 20 GROUP BY h0.it, v.id) p
+  LEFT JOIN (SELECT e.src AS id, SUM(a2.a) AS x FROM edges e
+             JOIN (SELECT e2.dst AS id, SUM(g2.hub) AS a FROM edges e2 JOIN h g2 ON g2.id = e2.src GROUP BY 1) a2
+               ON a2.id = e.dst GROUP BY 1) hh ON hh.id = p.id)"""
+SQL["hits"] = with_(*GRAPH, HITS, recursive=True) + (
+    "SELECT id AS zone_id, ROUND(hub / SQRT(SUM(hub * hub) OVER ()), 6) AS hub,"
+    " ROUND(auth / SQRT(SUM(auth * auth) OVER ()), 6) AS authority FROM h WHERE it = 20"
+)
+DEG = """dg AS (SELECT zone_id, SUM(o) AS total_degree, SUM(s) AS total_strength FROM (
+  SELECT src AS zone_id, 1 AS o, trip_count AS s FROM edges UNION ALL SELECT dst, 1, trip_count FROM edges)
+  GROUP BY 1)"""
+SQL["degree_vs_rank"] = with_(*PR, DEG, recursive=True) + """SELECT zone_id, total_degree, pagerank, degree_pos,
+  rank_pos, degree_pos - rank_pos AS pos_diff FROM (
+  SELECT d.zone_id, d.total_degree::BIGINT AS total_degree, ROUND(p.pagerank, 6) AS pagerank,
+    ROW_NUMBER() OVER (ORDER BY d.total_degree DESC, d.zone_id) AS degree_pos,
+    ROW_NUMBER() OVER (ORDER BY ROUND(p.pagerank, 6) DESC, d.zone_id) AS rank_pos
+  FROM dg d JOIN pr p ON d.zone_id = p.zone_id)"""
+SQL["degree_rank_corr"] = with_(*PR, DEG, recursive=True) + (
+    "SELECT ROUND(CORR(d.total_degree::DOUBLE, p.pagerank), 6) AS degree_corr,"
+    " ROUND(CORR(d.total_strength::DOUBLE, p.pagerank), 6) AS strength_corr, COUNT(*) AS num_zones"
+    " FROM dg d JOIN pr p ON d.zone_id = p.zone_id"
+)
+ZONES = """zones AS (SELECT v.id AS zone_id, r.r_name AS borough, n.n_name AS zone_name FROM v
+  JOIN nation n ON v.id % 25 = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+SQL["zone_names"] = with_(*PR, ZONES, recursive=True) + (
+    "SELECT p.zone_id, ROUND(p.pagerank, 6) AS pagerank, z.borough, z.zone_name FROM pr p"
+    " LEFT JOIN zones z ON p.zone_id = z.zone_id"
+)
+SQL["zone_lookup_csv"] = with_(*GRAPH, ZONES) + "SELECT zone_id, borough, zone_name FROM zones"
+
+# ------------------------------------------------------------------ tier C
+HOPS = """so AS (SELECT src AS s FROM edges GROUP BY src ORDER BY SUM(trip_count) DESC, src LIMIT 1),
+hd(it, id, hops, dist) AS (
+  SELECT 0, id, CASE WHEN id = (SELECT s FROM so) THEN 0 END,
+         CASE WHEN id = (SELECT s FROM so) THEN 0.0::DOUBLE END FROM v
+  UNION ALL
+  SELECT h.it + 1, h.id, LEAST(h.hops, m.h), LEAST(h.dist, m.d)
+  FROM hd h LEFT JOIN (SELECT e.dst, MIN(p.hops) + 1 AS h, MIN(p.dist + COALESCE(e.avg_distance, 0.0)) AS d
+                       FROM hd p JOIN edges e ON p.id = e.src WHERE p.dist IS NOT NULL GROUP BY e.dst) m
+    ON m.dst = h.id
+  WHERE h.it < 10)"""
+SQL["hop_distance"] = with_(*GRAPH, HOPS, recursive=True) + (
+    "SELECT id AS zone_id, hops, ROUND(dist, 6) AS distance FROM hd WHERE it = 10"
+)
+PROF = ("COUNT(*) AS trips, ROUND(SUM(fare_amount), 2) AS total_fare, ROUND(AVG(fare_amount), 6) AS avg_fare,"
+        " ROUND(SUM(tip_amount), 2) AS total_tip, ROUND(AVG(trip_distance), 6) AS avg_distance")
+SQL["monthly_profile"] = with_(TRIPS, CLEAN) + (
+    f"SELECT year(pickup_ts)::INT AS year, month(pickup_ts)::INT AS month, {PROF} FROM clean GROUP BY 1, 2"
+)
+SQL["weekday_profile"] = with_(TRIPS, CLEAN) + f"SELECT isodow(pickup_ts)::INT AS iso_weekday, {PROF} FROM clean GROUP BY 1"
+SQL["edges_by_month"] = with_(TRIPS, CLEAN) + (
+    "SELECT year(pickup_ts)::INT AS year, month(pickup_ts)::INT AS month, PULocationID AS src, DOLocationID AS dst,"
+    " COUNT(*) AS trip_count, ROUND(SUM(fare_amount), 4) AS total_fare FROM clean GROUP BY 1, 2, 3, 4"
+)
+SQL["edges_by_window"] = with_(TRIPS, CLEAN) + (
+    "SELECT strftime(time_bucket(INTERVAL '7 days', pickup_ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d') AS window_start,"
+    " PULocationID AS src, DOLocationID AS dst, COUNT(*) AS trip_count, ROUND(SUM(fare_amount), 4) AS total_fare"
+    " FROM clean GROUP BY 1, 2, 3"
+)
+SQL["stream_edges"] = SQL["edges_by_window"]

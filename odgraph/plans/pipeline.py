@@ -50,6 +50,14 @@ class Pipeline:
     def communities(self) -> DataFrame:
         return community.label_propagation(self.graph, self.p)
 
+    @cached_property
+    def degrees(self) -> DataFrame:
+        return reliable_checkpoint(edges.degree_table(self.edge_list))
+
+    @cached_property
+    def hits(self) -> DataFrame:
+        return reliable_checkpoint(rank.hits(self.graph, self.p))
+
     @cached_property
     def community_stats(self) -> DataFrame:
         return reliable_checkpoint(community.community_stats(self.communities, self.ranks))
