@@ -37,24 +37,33 @@ def vote_table(edges: DataFrame) -> DataFrame:
 
 
 def label_propagation(graph: Graph, p: Params = DEFAULTS, iterations: int | None = None) -> DataFrame:
-    """``zone_id, community_id`` (bigint)."""
+    """``zone_id, community_id`` (bigint).
+
+    Vertices on no edge never receive a vote and keep their own id; they are
+    set aside once, so each round reads the label state exactly once (the
+    plan grows linearly between checkpoints).  Every vertex on an edge
+    receives at least one vote per round.
+    """
     iters = p.lpa_iters if iterations is None else iterations
-    verts = reliable_checkpoint(graph.vertices.select("id"))
-    n = verts.count()
+    verts = graph.vertices.select("id")
     votes = reliable_checkpoint(vote_table(graph.edges))
+    on_edge = reliable_checkpoint(votes.select(F.col("receiver").alias("id")).distinct())
+    isolated = verts.join(on_edge, "id", "left_anti")
+    n = on_edge.count()
     vj = VertexJoin(votes, "sender", "receiver", n, p)
 
     def step(state: DataFrame, _i: int) -> DataFrame:
-        msgs = vj.attach(state).select(F.col("receiver").alias("id"), "label", "votes")
-        keep = state.select("id", "label", F.lit(0).cast("bigint").alias("votes"))
-        tallies = msgs.unionByName(keep).groupBy("id", "label").agg(F.sum("votes").alias("cnt"))
+        tallies = vj.attach(state).groupBy(F.col("receiver").alias("id"), "label").agg(
+            F.sum("votes").alias("cnt")
+        )
         return tallies.groupBy("id").agg(
             F.min_by("label", F.struct((-F.col("cnt")).alias("k"), F.col("label").alias("l"))).alias("label")
         )
 
-    state0 = verts.select("id", F.col("id").cast("bigint").alias("label"))
+    state0 = on_edge.select("id", F.col("id").cast("bigint").alias("label"))
     final = run_rounds(state0, step, iters, p)
-    return final.select(F.col("id").alias("zone_id"), F.col("label").alias("community_id"))
+    out = final.unionByName(isolated.select("id", F.col("id").cast("bigint").alias("label")))
+    return out.select(F.col("id").alias("zone_id"), F.col("label").alias("community_id"))
 
 
 # ---------------------------------------------------------------- analyses

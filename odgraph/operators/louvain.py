@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, reliable_checkpoint
+from odgraph.plans.iterate import VertexJoin, fixed_plans, reliable_checkpoint
 
 
 def symmetric_adjacency(edge_list: DataFrame, weight: str = "trip_count") -> DataFrame:
@@ -102,6 +102,11 @@ def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[Da
 def louvain(edge_list: DataFrame, p: Params = DEFAULTS, weight: str = "trip_count",
             max_levels: int = 5, max_rounds: int = 20) -> DataFrame:
     """``zone_id, community_id`` (bigint) and the modularity of each accepted level."""
+    with fixed_plans(edge_list.sparkSession, p):
+        return _louvain(edge_list, p, weight, max_levels, max_rounds)
+
+
+def _louvain(edge_list: DataFrame, p: Params, weight: str, max_levels: int, max_rounds: int) -> DataFrame:
     adj = reliable_checkpoint(symmetric_adjacency(edge_list, weight))
     two_m = float(adj.agg(F.sum("w")).first()[0] or 0.0)
     mapping = reliable_checkpoint(adj.select(F.col("a").alias("zone_id")).distinct()

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from odgraph.graph import Graph
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, reliable_checkpoint, run_rounds
+from odgraph.plans.iterate import VertexJoin, fixed_plans, reliable_checkpoint, run_rounds
 
 
 def _prepared(graph: Graph, p: Params, weight: str | None):
@@ -95,17 +95,18 @@ def pagerank_to_tolerance(graph: Graph, p: Params = DEFAULTS, max_iterations: in
     step = _pagerank_step(vj, verts, p)
     state = reliable_checkpoint(verts.select("id", F.lit(1.0).alias("rank")))
     used = 0
-    for i in range(max_iterations):
-        new = reliable_checkpoint(step(state, i))
-        used = i + 1
-        delta = (
-            new.alias("a").join(state.alias("b"), "id")
-            .agg(F.max(F.abs(F.col("a.rank") - F.col("b.rank"))).alias("d"))
-            .first()["d"]
-        )
-        state = new
-        if delta is None or delta < p.tolerance:
-            break
+    with fixed_plans(graph.edges.sparkSession, p):
+        for i in range(max_iterations):
+            new = reliable_checkpoint(step(state, i))
+            used = i + 1
+            delta = (
+                new.alias("a").join(state.alias("b"), "id")
+                .agg(F.max(F.abs(F.col("a.rank") - F.col("b.rank"))).alias("d"))
+                .first()["d"]
+            )
+            state = new
+            if delta is None or delta < p.tolerance:
+                break
     return _scaled(state, n, scale).withColumn("iterations", F.lit(used))
 
 
@@ -113,7 +114,10 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
     """hub/authority scores, L2-normalised.
 
     Per round: ``auth(v) = Σ_{u→v} hub(u)`` then ``hub(u) = Σ_{u→v} auth(v)``
-    with the new authority.  Scores are rescaled at each checkpoint (any
+    with the new authority.  Only the hub vector is carried between rounds
+    (each round reads the state once, so the plan grows linearly between
+    checkpoints); the authority of the last round is recomputed from the
+    hub of the round before.  Hubs are rescaled at each checkpoint (a
     positive rescaling leaves the normalised result unchanged) so that they
     cannot overflow on large graphs.
     """
@@ -123,31 +127,35 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
     by_src = VertexJoin(e, "src", "dst", n, p)
     by_dst = VertexJoin(e, "dst", "src", n, p)
 
-    def step(state: DataFrame, _i: int) -> DataFrame:
-        a_msgs = by_src.attach(state.select("id", "hub")).select(F.col("dst").alias("id"), F.col("hub").alias("x"))
-        auth = (
-            a_msgs.unionByName(verts.select("id", F.lit(0.0).alias("x")))
+    def authority(hub: DataFrame) -> DataFrame:
+        msgs = by_src.attach(hub).select(F.col("dst").alias("id"), F.col("hub").alias("x"))
+        return (
+            msgs.unionByName(verts.select("id", F.lit(0.0).alias("x")))
             .groupBy("id").agg(F.sum("x").alias("auth"))
         )
-        h_msgs = by_dst.attach(auth).select(F.col("src").alias("id"), F.col("auth").alias("x"))
-        hub = (
-            h_msgs.unionByName(verts.select("id", F.lit(0.0).alias("x")))
+
+    def hub_of(auth: DataFrame) -> DataFrame:
+        msgs = by_dst.attach(auth).select(F.col("src").alias("id"), F.col("auth").alias("x"))
+        return (
+            msgs.unionByName(verts.select("id", F.lit(0.0).alias("x")))
             .groupBy("id").agg(F.sum("x").alias("hub"))
         )
-        return hub.join(auth, "id")
-
-    def normalise(state: DataFrame) -> DataFrame:
-        nh = state.agg(F.sqrt(F.sum(F.col("hub") * F.col("hub")))).scalar()
-        na = state.agg(F.sqrt(F.sum(F.col("auth") * F.col("auth")))).scalar()
-        return state.select(
-            "id",
-            F.try_divide(F.col("hub"), nh).alias("hub"),
-            F.try_divide(F.col("auth"), na).alias("auth"),
-        )
 
-    state0 = verts.select("id", F.lit(1.0).alias("hub"), F.lit(1.0).alias("auth"))
-    final = run_rounds(state0, step, iterations, p, after_checkpoint=normalise)
-    return normalise(final).select(
+    def l2(df: DataFrame, c: str) -> DataFrame:
+        norm = df.agg(F.sqrt(F.sum(F.col(c) * F.col(c)))).scalar()
+        return df.select("id", F.try_divide(F.col(c), norm).alias(c))
+
+    hub0 = verts.select("id", F.lit(1.0).alias("hub"))
+    if iterations <= 0:
+        hub_prev = reliable_checkpoint(hub0)
+        return l2(hub_prev, "hub").join(l2(hub0.withColumnRenamed("hub", "auth"), "auth"), "id").select(
+            F.col("id").alias("zone_id"), "hub", F.col("auth").alias("authority")
+        )
+    hub_prev = run_rounds(hub0, lambda h, _i: hub_of(authority(h)), iterations - 1, p,
+                          after_checkpoint=lambda h: l2(h, "hub"))
+    auth = reliable_checkpoint(authority(l2(hub_prev, "hub")))
+    hub = reliable_checkpoint(hub_of(auth))
+    return l2(hub, "hub").join(l2(auth, "auth"), "id").select(
         F.col("id").alias("zone_id"), "hub", F.col("auth").alias("authority")
     )
 

@@ -61,6 +61,7 @@ class Params:
     broadcast_vertex_limit: int = 1_000_000
     salt_rows: int = 1_000_000
     global_window_limit: int = 1_000_000
+    adaptive_in_loops: bool = False
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
