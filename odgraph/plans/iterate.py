@@ -15,8 +15,9 @@ Two concerns live here:
      deterministic hash of the other endpoint, and their state row is
      replicated once per salt.  The hot list has at most
      ``n_edges / salt_rows`` rows, so it is broadcast with a proven bound.
-     The salted edge table is hash-partitioned on ``(key, salt)`` and
-     checkpointed once; every round then shuffles only the state.
+     The salted edge table is hash-partitioned and sorted on ``(key, salt)``
+     and checkpointed once (the checkpoint keeps both properties); every
+     round's sort-merge join then shuffles and sorts only the state.
 
    The aggregation on the receiving side needs no salting: Spark's partial
    aggregation folds a hot receiver's messages inside each map task.
@@ -102,16 +103,25 @@ class VertexJoin:
         hot = fan.filter(F.col("_fan") > salt_rows).select(
             "_hid", F.ceil(F.col("_fan") / F.lit(salt_rows)).cast("int").alias(NSALT)
         )
-        self.hot = reliable_checkpoint(hot)
-        salted = (
-            edges.join(F.broadcast(self.hot), edges[key] == F.col("_hid"), "left")
-            .withColumn(
-                SALT,
-                F.pmod(F.xxhash64(F.col(other)), F.coalesce(F.col(NSALT), F.lit(1))).cast("int"),
+        spark = edges.sparkSession
+        # exact hash partitioning on (key, salt) with the session's shuffle
+        # partition count, planned without AQE so that the checkpoint keeps
+        # it: every round's state exchange then lines up with the edges and
+        # only the state is shuffled.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        with fixed_plans(spark, p.with_(adaptive_in_loops=False)):
+            self.hot = reliable_checkpoint(hot)
+            salted = (
+                edges.join(F.broadcast(self.hot), edges[key] == F.col("_hid"), "left")
+                .withColumn(
+                    SALT,
+                    F.pmod(F.xxhash64(F.col(other)), F.coalesce(F.col(NSALT), F.lit(1))).cast("int"),
+                )
+                .drop("_hid", NSALT)
+            )
+            self.edges = reliable_checkpoint(
+                salted.repartition(parts, F.col(key), F.col(SALT)).sortWithinPartitions(key, SALT)
             )
-            .drop("_hid", NSALT)
-        )
-        self.edges = reliable_checkpoint(salted.repartition(F.col(key), F.col(SALT)))
 
     def attach(self, state: DataFrame, id_col: str = "id") -> DataFrame:
         """Edges joined with the state columns of their ``key`` endpoint."""
