@@ -335,8 +335,8 @@ def q_sweep_pagerank(spark, d):
 
 def _stress(spark, d):
     t = trips(spark, d)
-    single = scaling.stress_tests(spark, t, "single", single_task=True)
-    cluster = scaling.stress_tests(spark, t, "cluster")
+    single = scaling.stress_tests(spark, t, "reference_plan", fused=False)
+    cluster = scaling.stress_tests(spark, t, "fused_plan", fused=True)
     return single, cluster
 
 
@@ -412,7 +412,7 @@ def q_zone_names(spark, d):
 def q_zone_lookup_csv(spark, d):
     from odgraph.session import scratch_path
 
-    path = io.write_csv(_zones(spark, d), scratch_path(spark, "zone_lookup"))
+    path = io.write_csv(_zones(spark, d), scratch_path(spark, "zone_lookup"), single_file=False)
     return io.read_zone_lookup(spark, path)
 
 

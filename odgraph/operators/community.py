@@ -141,19 +141,23 @@ def community_concentration(stats: DataFrame, ks=(5, 10)) -> DataFrame:
     )
 
 
-def edges_with_communities(edge_list: DataFrame, communities: DataFrame) -> DataFrame:
+def edges_with_communities(edge_list: DataFrame, communities: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Role-playing self-join — the community of each end of every edge.
 
-    Both joins are many-to-one onto a per-vertex table; the planner (or AQE)
-    broadcasts the assignment when its size allows.
+    Both joins are many-to-one onto the per-vertex assignment.  They go
+    through :class:`VertexJoin`: the assignment is broadcast only after its
+    row count is checked, otherwise the edge side is salted so that a hub
+    holding a large share of the edges does not land in one task.
     """
-    c1 = communities.select(F.col("zone_id").alias("_s"), F.col("community_id").alias("src_community"))
-    c2 = communities.select(F.col("zone_id").alias("_d"), F.col("community_id").alias("dst_community"))
-    return (
-        edge_list.join(c1, F.col("src") == F.col("_s"))
-        .join(c2, F.col("dst") == F.col("_d"))
-        .select("src", "dst", "trip_count", "src_community", "dst_community")
+    n = communities.count()
+    e = edge_list.select("src", "dst", "trip_count")
+    by_src = VertexJoin(e, "src", "dst", n, p).attach(
+        communities.select(F.col("zone_id").alias("id"), F.col("community_id").alias("src_community"))
     )
+    by_dst = VertexJoin(by_src, "dst", "src", n, p).attach(
+        communities.select(F.col("zone_id").alias("id"), F.col("community_id").alias("dst_community"))
+    )
+    return by_dst.select("src", "dst", "trip_count", "src_community", "dst_community")
 
 
 def connectivity(edge_list: DataFrame, communities: DataFrame, p: Params = DEFAULTS) -> DataFrame:
@@ -162,7 +166,7 @@ def connectivity(edge_list: DataFrame, communities: DataFrame, p: Params = DEFAU
     The verdict follows the reference: intra > 50 % → strong, inter > 50 % →
     weak, otherwise balanced; null shares (no trips) → ``no data``.
     """
-    ec = edges_with_communities(edge_list, communities)
+    ec = edges_with_communities(edge_list, communities, p)
     same = F.col("src_community") == F.col("dst_community")
     row = ec.agg(
         F.coalesce(F.sum("trip_count"), F.lit(0)).cast("bigint").alias("total_trips"),

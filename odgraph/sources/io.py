@@ -42,10 +42,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
 
 
 def save_dataframe_as_csv(df: DataFrame, path: str, sample_size: int | None = None) -> str:
-    """Optionally the first ``sample_size`` rows, then one CSV file."""
+    """Optionally the first ``sample_size`` rows, then CSV.
+
+    A bounded sample is written as one file (as the reference does); a whole
+    table is written in parallel, one file per partition.
+    """
     if sample_size:
-        df = df.limit(sample_size)
-    return write_csv(df, path)
+        return write_csv(df.limit(sample_size), path, single_file=True)
+    return write_csv(df, path, single_file=False)
 
 
 def export_top(ranks: DataFrame, path: str, k: int = 100) -> str:
@@ -55,7 +59,7 @@ def export_top(ranks: DataFrame, path: str, k: int = 100) -> str:
 
 
 def save_metrics_json(metrics: DataFrame, path: str) -> str:
-    """Metric rows as JSON lines."""
+    """Metric rows (a handful per run) as one JSON-lines file."""
     metrics.coalesce(1).write.mode("overwrite").json(path)
     return path
 
@@ -81,15 +85,19 @@ ZONE_SCHEMA = T.StructType(
 )
 
 
-def zones_from_nations(zone_ids: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+def zones_from_nations(zone_ids: DataFrame, nation: DataFrame, region: DataFrame,
+                       broadcast_limit: int = 100_000) -> DataFrame:
     """Zone lookup for the test data: zone ``z`` lies in nation ``z % 25``.
 
     Borough = region name, zone name = nation name; the lookup has one row
-    per zone id that occurs.
+    per zone id that occurs.  The nation/region dimension is broadcast after
+    its row count has been checked.
     """
     nr = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
         "n_nationkey", "n_name", "r_name"
     )
+    if nation.count() <= broadcast_limit:
+        nr = F.broadcast(nr)
     return zone_ids.select(F.col("zone_id").cast("int")).distinct().join(
         nr, F.col("zone_id") % 25 == F.col("n_nationkey")
     ).select("zone_id", F.col("r_name").alias("borough"), F.col("n_name").alias("zone_name"))
