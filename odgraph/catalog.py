@@ -32,7 +32,8 @@ _PIPES: dict = {}
 
 
 def pipe(spark: SparkSession, sf_dir: str) -> Pipeline:
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
+    sc = spark.sparkContext
+    key = (sc.applicationId, sc.startTime, sf_dir.rstrip("/"))
     if key not in _PIPES:
         _PIPES[key] = Pipeline(trips(spark, sf_dir))
     return _PIPES[key]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from odgraph.functions.exprs import pct
 from odgraph.graph import Graph
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, reliable_checkpoint, run_rounds
+from odgraph.plans.iterate import VertexJoin, materialize, release, reliable_checkpoint, run_rounds
 
 
 def vote_table(edges: DataFrame) -> DataFrame:
@@ -46,10 +46,9 @@ def label_propagation(graph: Graph, p: Params = DEFAULTS, iterations: int | None
     """
     iters = p.lpa_iters if iterations is None else iterations
     verts = graph.vertices.select("id")
-    votes = reliable_checkpoint(vote_table(graph.edges))
-    on_edge = reliable_checkpoint(votes.select(F.col("receiver").alias("id")).distinct())
+    votes = vote_table(graph.edges).persist()
+    on_edge, n = materialize(votes.select(F.col("receiver").alias("id")).distinct())
     isolated = verts.join(on_edge, "id", "left_anti")
-    n = on_edge.count()
     vj = VertexJoin(votes, "sender", "receiver", n, p)
 
     def step(state: DataFrame, _i: int) -> DataFrame:
@@ -62,6 +61,7 @@ def label_propagation(graph: Graph, p: Params = DEFAULTS, iterations: int | None
 
     state0 = on_edge.select("id", F.col("id").cast("bigint").alias("label"))
     final = run_rounds(state0, step, iters, p)
+    release(votes)
     out = final.unionByName(isolated.select("id", F.col("id").cast("bigint").alias("label")))
     return out.select(F.col("id").alias("zone_id"), F.col("label").alias("community_id"))
 

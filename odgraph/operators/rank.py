@@ -24,13 +24,17 @@ from pyspark.sql import functions as F
 
 from odgraph.graph import Graph
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, fixed_plans, reliable_checkpoint, run_rounds
+from odgraph.plans.iterate import VertexJoin, fixed_plans, materialize, release, reliable_checkpoint, run_rounds
 
 
 def _prepared(graph: Graph, p: Params, weight: str | None):
-    """Checkpointed vertices, vertex count and the (src, dst, w) transition table."""
-    verts = reliable_checkpoint(graph.vertices.select(F.col("id")))
-    n = verts.count()
+    """Persisted vertices, vertex count and the (src, dst, w) transition table.
+
+    Both are static inputs re-read by every round; they are persisted (the
+    transition table fills its cache during the first round) and released
+    once the final state is checkpointed.
+    """
+    verts, n = materialize(graph.vertices.select(F.col("id")))
     e = graph.edges
     if weight is None:
         per_src = e.groupBy(F.col("src").alias("id")).agg(
@@ -46,7 +50,7 @@ def _prepared(graph: Graph, p: Params, weight: str | None):
     # attach the per-source normaliser with the same skew-safe join as rounds
     vj0 = VertexJoin(base, "src", "dst", n, p)
     trans = vj0.attach(per_src).select("src", "dst", (F.col("_w") * F.col("_norm")).alias("w"))
-    trans = reliable_checkpoint(trans.filter(F.col("w").isNotNull()))
+    trans = trans.filter(F.col("w").isNotNull()).persist()
     return verts, n, trans
 
 
@@ -80,6 +84,7 @@ def pagerank(graph: Graph, p: Params = DEFAULTS, iterations: int | None = None,
     vj = VertexJoin(trans, "src", "dst", n, p)
     state0 = verts.select("id", F.lit(1.0).alias("rank"))
     final = run_rounds(state0, _pagerank_step(vj, verts, p), iters, p)
+    release(verts, trans)
     return _scaled(final, n, scale)
 
 
@@ -107,6 +112,7 @@ def pagerank_to_tolerance(graph: Graph, p: Params = DEFAULTS, max_iterations: in
             state = new
             if delta is None or delta < p.tolerance:
                 break
+    release(verts, trans)
     return _scaled(state, n, scale).withColumn("iterations", F.lit(used))
 
 
@@ -121,9 +127,8 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
     positive rescaling leaves the normalised result unchanged) so that they
     cannot overflow on large graphs.
     """
-    verts = reliable_checkpoint(graph.vertices.select("id"))
-    n = verts.count()
-    e = graph.edges.select("src", "dst")
+    verts, n = materialize(graph.vertices.select("id"))
+    e = graph.edges.select("src", "dst").persist()
     by_src = VertexJoin(e, "src", "dst", n, p)
     by_dst = VertexJoin(e, "dst", "src", n, p)
 
@@ -153,8 +158,10 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
         )
     hub_prev = run_rounds(hub0, lambda h, _i: hub_of(authority(h)), iterations - 1, p,
                           after_checkpoint=lambda h: l2(h, "hub"))
-    auth = reliable_checkpoint(authority(l2(hub_prev, "hub")))
-    hub = reliable_checkpoint(hub_of(auth))
+    with fixed_plans(graph.edges.sparkSession, p):
+        auth = reliable_checkpoint(authority(l2(hub_prev, "hub")))
+        hub = reliable_checkpoint(hub_of(auth))
+    release(verts, e)
     return l2(hub, "hub").join(l2(auth, "auth"), "id").select(
         F.col("id").alias("zone_id"), "hub", F.col("auth").alias("authority")
     )

@@ -84,6 +84,23 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return out
 
 
+def materialize(df: DataFrame) -> tuple[DataFrame, int]:
+    """Persist a static loop input and count it (one job).
+
+    Used for inputs that every round re-reads (vertex sets, transition and
+    vote tables).  They derive from an already checkpointed edge list through
+    a short lineage, so a lost block is recomputed from there; only the
+    round state, whose lineage grows, needs reliable checkpoints.
+    """
+    df = df.persist()
+    return df, df.count()
+
+
+def release(*dfs: DataFrame) -> None:
+    for d in dfs:
+        d.unpersist()
+
+
 class VertexJoin:
     """Attach per-vertex state to edges on the ``key`` endpoint, skew-safe."""
 
