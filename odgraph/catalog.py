@@ -496,6 +496,47 @@ def q_stream_edges(spark, d):
     return _window_out(sedges.read_stream_result(spark, out))
 
 
+def q_size_rank_corr(spark, d):
+    return _r6(report.size_rank_correlation(pipe(spark, d).community_stats), "size_rank_corr")
+
+
+def q_status_counts(spark, d):
+    single, cluster = _stress(spark, d)
+    return scaling.status_counts(single.unionByName(cluster))
+
+
+def q_metrics_csv_roundtrip(spark, d):
+    from odgraph.session import scratch_path
+
+    single, cluster = _stress(spark, d)
+    path = io.write_metrics_csv(single.unionByName(cluster), scratch_path(spark, "metrics_csv"))
+    return io.read_metrics_csv(spark, path, scaling.STRESS_METRICS)
+
+
+def q_zone_cluster_profile(spark, d):
+    from odgraph.operators import zones
+
+    pp = pipe(spark, d)
+    km = zones.zone_kmeans(zones.zone_features(pp.ranks, pp.degrees, pp.hits))
+    return zones.cluster_profile(km)
+
+
+def q_hourly_profile(spark, d):
+    from odgraph.operators import temporal
+
+    return _prof(temporal.hourly_profile(pipe(spark, d).clean))
+
+
+def q_report_csvs(spark, d):
+    """Both report files written, then read back and stacked."""
+    from odgraph.session import scratch_path
+
+    pp = pipe(spark, d)
+    paths = report.write_reports(pp.ranks, pp.community_stats, scratch_path(spark, "reports"))
+    summ = io.read_csv(spark, paths["summary"], "metric string, value double")
+    return _r6(summ, "value")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

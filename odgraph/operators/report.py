@@ -122,3 +122,17 @@ def size_rank_correlation(stats: DataFrame) -> DataFrame:
         F.corr(F.col("num_zones").cast("double"), F.col("total_pagerank")).alias("size_rank_corr"),
         F.count(F.lit(1)).alias("num_communities"),
     )
+
+
+def write_reports(ranks: DataFrame, stats: DataFrame, out: str, k: int = 50) -> dict[str, str]:
+    """``summary_statistics`` and ``top{k}_zones_detailed`` as CSV.
+
+    Both outputs are bounded (8 rows; k rows), so each is one CSV file.
+    """
+    from odgraph.operators.rank import top_pagerank
+    from odgraph.sources import io
+
+    return {
+        "summary": io.write_csv(summary_report(ranks, stats), f"{out}/summary_statistics"),
+        "top": io.write_csv(top_pagerank(ranks, k).drop("label"), f"{out}/top{k}_zones_detailed"),
+    }

@@ -370,3 +370,27 @@ SQL["edges_by_window"] = with_(TRIPS, CLEAN) + (
     " FROM clean GROUP BY 1, 2, 3"
 )
 SQL["stream_edges"] = SQL["edges_by_window"]
+
+SQL["size_rank_corr"] = with_(*COMM, recursive=True) + (
+    "SELECT ROUND(CORR(num_zones::DOUBLE, total_pagerank), 6) AS size_rank_corr, COUNT(*) AS num_communities FROM cstats"
+)
+SQL["hourly_profile"] = with_(TRIPS, CLEAN) + f"SELECT hour(pickup_ts)::INT AS hour, {PROF} FROM clean GROUP BY 1"
+SQL["report_csvs"] = SQL["summary_report"]
+
+# PageRank until the largest change of a round is below 1e-6 (at most 100 rounds);
+# each row carries the largest change of its round, the recursion stops after it drops
+PR_TOL = """tt AS (SELECT e.src, e.dst, 1.0 / COUNT(*) OVER (PARTITION BY e.src) AS w FROM edges e),
+rt(it, id, rank, md) AS (
+  SELECT 0, id, 1.0::DOUBLE, 1e9::DOUBLE FROM v
+  UNION ALL
+  SELECT it, id, rank, MAX(ABS(rank - old)) OVER () FROM (
+    SELECT any_value(r0.it) + 1 AS it, v.id, 0.15 + 0.85 * COALESCE(SUM(m.c), 0) AS rank, any_value(o.rank) AS old
+    FROM v CROSS JOIN (SELECT DISTINCT it, md FROM rt) r0
+    LEFT JOIN (SELECT t.dst, r.rank * t.w AS c FROM rt r JOIN tt t ON r.id = t.src) m ON m.dst = v.id
+    LEFT JOIN rt o ON o.id = v.id
+    WHERE r0.it < 100 AND r0.md >= 1e-6 GROUP BY v.id)),
+lastit AS (SELECT MAX(it) AS it FROM rt)"""
+SQL["pagerank_tol"] = with_(*GRAPH, PR_TOL, recursive=True) + (
+    "SELECT id AS zone_id, ROUND(rank * (SELECT COUNT(*) FROM v) / (SELECT SUM(rank) FROM rt WHERE it = (SELECT it FROM lastit)), 6)"
+    " AS pagerank, (SELECT it FROM lastit) AS iterations FROM rt WHERE it = (SELECT it FROM lastit)"
+)

@@ -64,6 +64,16 @@ def save_metrics_json(metrics: DataFrame, path: str) -> str:
     return path
 
 
+def write_metrics_csv(metrics: DataFrame, path: str) -> str:
+    """A metric table (a handful of rows) as one CSV file with a header."""
+    return write_csv(metrics, path, single_file=True)
+
+
+def read_metrics_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A metric CSV read back with its declared schema (no inference)."""
+    return read_csv(spark, path, schema)
+
+
 def read_metrics_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Metric JSON read back with its schema, plus the source file name."""
     return spark.read.schema(schema).json(path).withColumn("source_file", F.col("_metadata.file_name"))
