@@ -101,8 +101,16 @@ def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[Da
 
 def louvain(edge_list: DataFrame, p: Params = DEFAULTS, weight: str = "trip_count",
             max_levels: int = 5, max_rounds: int = 20) -> DataFrame:
-    """``zone_id, community_id`` (bigint) and the modularity of each accepted level."""
-    with fixed_plans(edge_list.sparkSession, p):
+    """``zone_id, community_id`` (bigint) and the modularity of each accepted level.
+
+    Within the broadcast bound every per-round join is a broadcast and the
+    rounds run without adaptive re-planning.  Beyond it the joins keyed by
+    community id are shuffle joins, and AQE stays on so that its skew-join
+    handling splits a giant community's partition.
+    """
+    n = symmetric_adjacency(edge_list, weight).select("a").distinct().count()
+    loop_p = p if n <= p.broadcast_vertex_limit else p.with_(adaptive_in_loops=True)
+    with fixed_plans(edge_list.sparkSession, loop_p):
         return _louvain(edge_list, p, weight, max_levels, max_rounds)
 
 

@@ -12,9 +12,10 @@ mass, repaired only by the final scaling; ranks sum to ``|V|`` (or to 1 with
 ``scale='1'``).
 
 Each round is one join of the edge table with the rank state on ``src``
-(:class:`~odgraph.plans.iterate.VertexJoin`) and one ``groupBy(dst)``.  A
-zero-contribution row per vertex is unioned in before the group-by so that
-vertices without in-edges survive without an outer join.
+(:class:`~odgraph.plans.iterate.VertexJoin`) and one ``groupBy(dst)``.  The
+transition table carries one zero-weight self-edge per vertex, so vertices
+without in-edges survive the group-by with no union or outer join (one
+pipeline per round instead of a union with a zero row per vertex).
 """
 
 from __future__ import annotations
@@ -50,7 +51,11 @@ def _prepared(graph: Graph, p: Params, weight: str | None):
     # attach the per-source normaliser with the same skew-safe join as rounds
     vj0 = VertexJoin(base, "src", "dst", n, p)
     trans = vj0.attach(per_src).select("src", "dst", (F.col("_w") * F.col("_norm")).alias("w"))
-    trans = trans.filter(F.col("w").isNotNull()).persist()
+    # one zero-weight self-edge per vertex: every vertex then receives a
+    # (0.0) contribution through the round's join, so vertices without
+    # in-edges survive the group-by without a union or outer join per round
+    zero_loops = verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("w"))
+    trans = trans.filter(F.col("w").isNotNull()).unionByName(zero_loops).persist()
     return verts, n, trans
 
 
@@ -59,10 +64,7 @@ def _pagerank_step(vj: VertexJoin, verts: DataFrame, p: Params):
 
     def step(state: DataFrame, _i: int) -> DataFrame:
         contrib = vj.attach(state).select(F.col("dst").alias("id"), (F.col("rank") * F.col("w")).alias("c"))
-        zero = verts.select("id", F.lit(0.0).alias("c"))
-        return contrib.unionByName(zero).groupBy("id").agg(
-            (F.lit(reset) + F.lit(damp) * F.sum("c")).alias("rank")
-        )
+        return contrib.groupBy("id").agg((F.lit(reset) + F.lit(damp) * F.sum("c")).alias("rank"))
 
     return step
 
@@ -132,19 +134,13 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
     by_src = VertexJoin(e, "src", "dst", n, p)
     by_dst = VertexJoin(e, "dst", "src", n, p)
 
+    # a vertex without in-edges (out-edges) gets no authority (hub) row; it
+    # contributes nothing to the next half-step, and is filled with 0 at the end
     def authority(hub: DataFrame) -> DataFrame:
-        msgs = by_src.attach(hub).select(F.col("dst").alias("id"), F.col("hub").alias("x"))
-        return (
-            msgs.unionByName(verts.select("id", F.lit(0.0).alias("x")))
-            .groupBy("id").agg(F.sum("x").alias("auth"))
-        )
+        return by_src.attach(hub).groupBy(F.col("dst").alias("id")).agg(F.sum("hub").alias("auth"))
 
     def hub_of(auth: DataFrame) -> DataFrame:
-        msgs = by_dst.attach(auth).select(F.col("src").alias("id"), F.col("auth").alias("x"))
-        return (
-            msgs.unionByName(verts.select("id", F.lit(0.0).alias("x")))
-            .groupBy("id").agg(F.sum("x").alias("hub"))
-        )
+        return by_dst.attach(auth).groupBy(F.col("src").alias("id")).agg(F.sum("auth").alias("hub"))
 
     def l2(df: DataFrame, c: str) -> DataFrame:
         norm = df.agg(F.sqrt(F.sum(F.col(c) * F.col(c)))).scalar()
@@ -152,19 +148,24 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
 
     hub0 = verts.select("id", F.lit(1.0).alias("hub"))
     if iterations <= 0:
-        hub_prev = reliable_checkpoint(hub0)
-        return l2(hub_prev, "hub").join(l2(hub0.withColumnRenamed("hub", "auth"), "auth"), "id").select(
-            F.col("id").alias("zone_id"), "hub", F.col("auth").alias("authority")
-        )
-    hub_prev = run_rounds(hub0, lambda h, _i: hub_of(authority(h)), iterations - 1, p,
-                          after_checkpoint=lambda h: l2(h, "hub"))
-    with fixed_plans(graph.edges.sparkSession, p):
-        auth = reliable_checkpoint(authority(l2(hub_prev, "hub")))
-        hub = reliable_checkpoint(hub_of(auth))
+        auth = verts.select("id", F.lit(1.0).alias("auth"))
+        hub = hub0
+    else:
+        hub_prev = run_rounds(hub0, lambda h, _i: hub_of(authority(h)), iterations - 1, p,
+                              after_checkpoint=lambda h: l2(h, "hub"))
+        with fixed_plans(graph.edges.sparkSession, p):
+            auth = reliable_checkpoint(authority(l2(hub_prev, "hub")))
+            hub = reliable_checkpoint(hub_of(auth))
     release(verts, e)
-    return l2(hub, "hub").join(l2(auth, "auth"), "id").select(
-        F.col("id").alias("zone_id"), "hub", F.col("auth").alias("authority")
+    out = (
+        verts.join(l2(hub, "hub"), "id", "left").join(l2(auth, "auth"), "id", "left")
+        .select(
+            F.col("id").alias("zone_id"),
+            F.coalesce(F.col("hub"), F.lit(0.0)).alias("hub"),
+            F.coalesce(F.col("auth"), F.lit(0.0)).alias("authority"),
+        )
     )
+    return out
 
 
 # ---------------------------------------------------------------- analyses
