@@ -425,17 +425,14 @@ def q_zone_kmeans(spark, d):
 
 
 def q_louvain(spark, d):
-    from odgraph.operators import louvain
-
-    return louvain.louvain(pipe(spark, d).edge_list).select("zone_id", "community_id")
+    return pipe(spark, d).louvain
 
 
 def q_louvain_modularity(spark, d):
     from odgraph.operators import louvain
 
     pp = pipe(spark, d)
-    lv = louvain.louvain(pp.edge_list).select("zone_id", "community_id")
-    return _r6(community.modularity(pp.edge_list, lv), "modularity")
+    return _r6(community.modularity(pp.edge_list, pp.louvain), "modularity")
 
 
 # ------------------------------------------------------------------ tier C: paths, time, streams
@@ -470,9 +467,15 @@ def q_edges_by_month(spark, d):
 
 
 def _window_out(df):
+    from odgraph.functions.exprs import utc_day
+
+    # batch windows over TIMESTAMP_NTZ are wall-clock values; stream windows
+    # are UTC instants — both rendered as a day without the session zone
+    start = F.col("window_start")
+    day = (F.date_format(start, "yyyy-MM-dd") if dict(df.dtypes)["window_start"] == "timestamp_ntz"
+           else utc_day(start))
     return round_cols(
-        df.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "src", "dst",
-                  "trip_count", "total_fare"),
+        df.select(day.alias("window_start"), "src", "dst", "trip_count", "total_fare"),
         {"total_fare": 4},
     )
 

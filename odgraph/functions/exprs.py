@@ -57,3 +57,19 @@ def round_cols(df, places: dict[str, int]):
     return df.select(
         *[F.round(F.col(c), places[c]).alias(c) if c in places else F.col(c) for c in df.columns]
     )
+
+
+def ntz_as_utc_instant(name: str) -> Column:
+    """TIMESTAMP_NTZ wall clock → the TIMESTAMP instant with that UTC wall clock.
+
+    Pure arithmetic on microseconds since the epoch, so the result does not
+    depend on ``spark.sql.session.timeZone`` (a cast would).
+    """
+    return F.expr(
+        f"timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`))"
+    )
+
+
+def utc_day(c: str | Column) -> Column:
+    """UTC calendar day (``yyyy-MM-dd``) of a TIMESTAMP instant, zone-independent."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(col(c)) / F.lit(86_400_000_000)).cast("int")).cast("string")

@@ -50,6 +50,12 @@ class Pipeline:
     def communities(self) -> DataFrame:
         return community.label_propagation(self.graph, self.p)
 
+    @cached_property
+    def louvain(self) -> DataFrame:
+        from odgraph.operators.louvain import louvain
+
+        return reliable_checkpoint(louvain(self.edge_list, self.p).select("zone_id", "community_id"))
+
     @cached_property
     def degrees(self) -> DataFrame:
         return reliable_checkpoint(edges.degree_table(self.edge_list))

@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odgraph.functions.exprs import valid_trip
+from odgraph.functions.exprs import ntz_as_utc_instant, valid_trip
 from odgraph.params import DEFAULTS, DROPOFF, FARE, PICKUP, PICKUP_TS, Params
 
 
@@ -25,11 +25,11 @@ def windowed_edges(trips: DataFrame, duration: str, watermark: str, p: Params =
     """Per-window edge counts with a watermark on the pickup time.
 
     Watermarks need a ``TIMESTAMP`` event time; a ``TIMESTAMP_NTZ`` pickup time
-    is read in the session time zone (windows align to the epoch in UTC, so
-    pin ``spark.sql.session.timeZone=UTC`` to get UTC calendar windows).
+    is mapped to the instant with the same UTC wall clock (arithmetically, so
+    the windows do not move with the session time zone).
     """
     if dict(trips.dtypes).get(PICKUP_TS) == "timestamp_ntz":
-        trips = trips.withColumn(PICKUP_TS, F.col(PICKUP_TS).cast("timestamp"))
+        trips = trips.withColumn(PICKUP_TS, ntz_as_utc_instant(PICKUP_TS))
     return (
         trips.filter(valid_trip(p))
         .withWatermark(PICKUP_TS, watermark)
