@@ -540,6 +540,19 @@ def q_report_csvs(spark, d):
     return _r6(summ, "value")
 
 
+def q_results_roundtrip(spark, d):
+    """The pipeline's outputs saved (Parquet + CSV) and loaded back."""
+    from odgraph.session import scratch_path
+
+    pp = pipe(spark, d)
+    out = scratch_path(spark, "pipeline")
+    pp.save(out)
+    res = io.load_results(spark, out)
+    edges_back, ranks_back = io.load_graph_data(spark, out)
+    assert edges_back.columns[:2] == ["src", "dst"] and ranks_back.columns == ["zone_id", "pagerank"]
+    return _r6(res["community_stats"], "total_pagerank", "avg_pagerank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

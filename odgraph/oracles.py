@@ -394,3 +394,4 @@ SQL["pagerank_tol"] = with_(*GRAPH, PR_TOL, recursive=True) + (
     "SELECT id AS zone_id, ROUND(rank * (SELECT COUNT(*) FROM v) / (SELECT SUM(rank) FROM rt WHERE it = (SELECT it FROM lastit)), 6)"
     " AS pagerank, (SELECT it FROM lastit) AS iterations FROM rt WHERE it = (SELECT it FROM lastit)"
 )
+SQL["results_roundtrip"] = SQL["community_stats"]

@@ -128,3 +128,32 @@ def attach_zone_names(df: DataFrame, zones: DataFrame, broadcast_limit: int = 10
     n = zones.count()
     z = F.broadcast(zones) if n <= broadcast_limit else zones
     return df.join(z, "zone_id", "left")
+
+
+RANK_SCHEMA = T.StructType([T.StructField("zone_id", T.IntegerType()), T.StructField("pagerank", T.DoubleType())])
+COMMUNITY_SCHEMA = T.StructType(
+    [T.StructField("zone_id", T.IntegerType()), T.StructField("community_id", T.LongType())]
+)
+STATS_SCHEMA = T.StructType(
+    [
+        T.StructField("community_id", T.LongType()),
+        T.StructField("num_zones", T.LongType()),
+        T.StructField("total_pagerank", T.DoubleType()),
+        T.StructField("avg_pagerank", T.DoubleType()),
+    ]
+)
+
+
+def load_graph_data(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """The saved edge list and ranks of a pipeline output folder."""
+    return (read_edge_list(spark, f"{out}/graph/edges"),
+            spark.read.schema(RANK_SCHEMA).parquet(f"{out}/results/pagerank"))
+
+
+def load_results(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """Ranks, community assignments and community statistics, typed."""
+    return {
+        "pagerank": spark.read.schema(RANK_SCHEMA).parquet(f"{out}/results/pagerank"),
+        "communities": spark.read.schema(COMMUNITY_SCHEMA).parquet(f"{out}/results/communities"),
+        "community_stats": spark.read.schema(STATS_SCHEMA).parquet(f"{out}/results/community_stats"),
+    }
