@@ -61,6 +61,7 @@ def label_propagation(graph: Graph, p: Params = DEFAULTS, iterations: int | None
 
     state0 = on_edge.select("id", F.col("id").cast("bigint").alias("label"))
     final = run_rounds(state0, step, iters, p)
+    vj.release()
     release(votes)
     out = final.unionByName(isolated.select("id", F.col("id").cast("bigint").alias("label")))
     return out.select(F.col("id").alias("zone_id"), F.col("label").alias("community_id"))
@@ -151,10 +152,10 @@ def edges_with_communities(edge_list: DataFrame, communities: DataFrame, p: Para
     """
     n = communities.count()
     e = edge_list.select("src", "dst", "trip_count")
-    by_src = VertexJoin(e, "src", "dst", n, p).attach(
+    by_src = VertexJoin(e, "src", "dst", n, p, reuse=False).attach(
         communities.select(F.col("zone_id").alias("id"), F.col("community_id").alias("src_community"))
     )
-    by_dst = VertexJoin(by_src, "dst", "src", n, p).attach(
+    by_dst = VertexJoin(by_src, "dst", "src", n, p, reuse=False).attach(
         communities.select(F.col("zone_id").alias("id"), F.col("community_id").alias("dst_community"))
     )
     return by_dst.select("src", "dst", "trip_count", "src_community", "dst_community")

@@ -96,6 +96,7 @@ def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[Da
         idle = idle + 1 if moved == 0 else 0
         if idle >= 2:
             break
+    vj.release()
     return state, moved_total
 
 

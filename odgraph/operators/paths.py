@@ -71,4 +71,5 @@ def _hop_distance(edge_list, source, length, max_hops, p):
         state = new
         if changed == 0:
             break
+    vj.release()
     return state.select(F.col("id").alias("zone_id"), "hops", F.col("dist").alias("distance"))

@@ -31,9 +31,9 @@ from odgraph.plans.iterate import VertexJoin, fixed_plans, materialize, release,
 def _prepared(graph: Graph, p: Params, weight: str | None):
     """Persisted vertices, vertex count and the (src, dst, w) transition table.
 
-    Both are static inputs re-read by every round; they are persisted (the
-    transition table fills its cache during the first round) and released
-    once the final state is checkpointed.
+    Both are static inputs re-read by every round; the vertex set is
+    persisted here, the transition table by the round join (partitioned on
+    ``src``), and both are released once the final state is checkpointed.
     """
     verts, n = materialize(graph.vertices.select(F.col("id")))
     e = graph.edges
@@ -49,13 +49,13 @@ def _prepared(graph: Graph, p: Params, weight: str | None):
         )
         base = e.select("src", "dst", wcol.alias("_w"))
     # attach the per-source normaliser with the same skew-safe join as rounds
-    vj0 = VertexJoin(base, "src", "dst", n, p)
+    vj0 = VertexJoin(base, "src", "dst", n, p, reuse=False)
     trans = vj0.attach(per_src).select("src", "dst", (F.col("_w") * F.col("_norm")).alias("w"))
     # one zero-weight self-edge per vertex: every vertex then receives a
     # (0.0) contribution through the round's join, so vertices without
     # in-edges survive the group-by without a union or outer join per round
     zero_loops = verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("w"))
-    trans = trans.filter(F.col("w").isNotNull()).unionByName(zero_loops).persist()
+    trans = trans.filter(F.col("w").isNotNull()).unionByName(zero_loops)
     return verts, n, trans
 
 
@@ -86,7 +86,8 @@ def pagerank(graph: Graph, p: Params = DEFAULTS, iterations: int | None = None,
     vj = VertexJoin(trans, "src", "dst", n, p)
     state0 = verts.select("id", F.lit(1.0).alias("rank"))
     final = run_rounds(state0, _pagerank_step(vj, verts, p), iters, p)
-    release(verts, trans)
+    vj.release()
+    release(verts)
     return _scaled(final, n, scale)
 
 
@@ -114,7 +115,8 @@ def pagerank_to_tolerance(graph: Graph, p: Params = DEFAULTS, max_iterations: in
             state = new
             if delta is None or delta < p.tolerance:
                 break
-    release(verts, trans)
+    vj.release()
+    release(verts)
     return _scaled(state, n, scale).withColumn("iterations", F.lit(used))
 
 
@@ -156,6 +158,8 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
         with fixed_plans(graph.edges.sparkSession, p):
             auth = reliable_checkpoint(authority(l2(hub_prev, "hub")))
             hub = reliable_checkpoint(hub_of(auth))
+    by_src.release()
+    by_dst.release()
     release(verts, e)
     out = (
         verts.join(l2(hub, "hub"), "id", "left").join(l2(auth, "auth"), "id", "left")

@@ -62,6 +62,7 @@ class Params:
     salt_rows: int = 1_000_000
     global_window_limit: int = 1_000_000
     adaptive_in_loops: bool = False
+    round_join: str = "copartition"  # or "broadcast" (state broadcast each round, size-checked)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
