@@ -60,6 +60,7 @@ class Params:
     checkpoint_every: int = 5
     broadcast_vertex_limit: int = 1_000_000
     salt_rows: int = 1_000_000
+    hot_list_limit: int = 1_000_000  # bound on broadcast hot-vertex rows (raises salt_rows if needed)
     global_window_limit: int = 1_000_000
     adaptive_in_loops: bool = False
     round_join: str = "copartition"  # or "broadcast" (state broadcast each round, size-checked)

@@ -18,7 +18,8 @@ Two concerns live here:
      edges are spread over ``ceil(fanout / salt_rows)`` salts chosen by a
      deterministic hash of the other endpoint, and their state row is
      replicated once per salt.  The hot list has at most
-     ``n_edges / salt_rows`` rows, so it is broadcast with a proven bound.
+     ``n_edges / salt_rows`` rows (``salt_rows`` is raised so that this stays
+     within ``hot_list_limit``), so it is broadcast with a proven bound.
      The salted edge table is hash-partitioned and sorted on ``(key, salt)``
      and checkpointed once (the checkpoint keeps both properties); every
      round's sort-merge join then shuffles and sorts only the state.
@@ -142,7 +143,7 @@ class VertexJoin:
             co = edges.repartition(parts, F.col(key)).persist()
             n_edges = co.count()
             # keep the hot list within the broadcast bound whatever the edge count
-            salt_rows = max(p.salt_rows, math.ceil(n_edges / max(p.broadcast_vertex_limit, 1)))
+            salt_rows = max(p.salt_rows, math.ceil(n_edges / max(p.hot_list_limit, 1)))
             hot_n = 0
             if n_edges > salt_rows:  # otherwise no vertex can be hot
                 fan = co.groupBy(F.col(key).alias("_hid")).agg(F.count(F.lit(1)).alias("_fan"))
