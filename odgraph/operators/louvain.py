@@ -22,7 +22,7 @@ community at the first level, carried upwards).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from odgraph.params import DEFAULTS, Params
@@ -86,12 +86,14 @@ def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[Da
             F.first("D").alias("D"),
         )
         move = (F.col("b.C") != F.col("D")) & (F.col("b.gain") > F.col("g0") + F.lit(1e-12))
-        new = reliable_checkpoint(
-            best.select("id", F.when(move, F.col("b.C")).otherwise(F.col("D")).alias("comm"),
-                        move.cast("int").alias("moved"))
+        # the number of moves is observed while the checkpoint job runs
+        obs = Observation(f"louvain_moves_{rnd}")
+        new = best.select("id", F.when(move, F.col("b.C")).otherwise(F.col("D")).alias("comm"),
+                          move.cast("int").alias("_moved"))
+        state = reliable_checkpoint(
+            new.observe(obs, F.coalesce(F.sum("_moved"), F.lit(0)).alias("moved")).drop("_moved")
         )
-        moved = new.agg(F.sum("moved")).first()[0] or 0
-        state = new.drop("moved")
+        moved = obs.get["moved"]
         moved_total += moved
         idle = idle + 1 if moved == 0 else 0
         if idle >= 2:

@@ -10,7 +10,7 @@ per round) or after ``max_hops``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from odgraph.graph import vertices_of
@@ -49,27 +49,28 @@ def _hop_distance(edge_list, source, length, max_hops, p):
             F.when(F.col("id") == src_col, F.lit(0.0)).alias("dist"),
         )
     )
-    for _ in range(max_hops):
+    for i in range(max_hops):
         reached = state.filter(F.col("dist").isNotNull())
         msgs = vj.attach(reached).select(
             F.col("dst").alias("id"),
             (F.col("hops") + 1).alias("h"),
             (F.col("dist") + F.col("len")).alias("d"),
+            F.lit(None).cast("int").alias("oh"),
+            F.lit(None).cast("double").alias("od"),
         )
-        cand = msgs.unionByName(state.select("id", F.col("hops").alias("h"), F.col("dist").alias("d")))
-        new = reliable_checkpoint(
-            cand.groupBy("id").agg(F.min("h").alias("hops"), F.min("d").alias("dist"))
+        old = state.select("id", F.col("hops").alias("h"), F.col("dist").alias("d"),
+                           F.col("hops").alias("oh"), F.col("dist").alias("od"))
+        new = msgs.unionByName(old).groupBy("id").agg(
+            F.min("h").alias("hops"), F.min("d").alias("dist"),
+            F.min("oh").alias("oh"), F.min("od").alias("od"),
         )
-        changed = (
-            new.alias("n").join(state.alias("o"), "id")
-            .filter(
-                ~F.col("n.hops").eqNullSafe(F.col("o.hops")) | ~F.col("n.dist").eqNullSafe(F.col("o.dist"))
-            )
-            .limit(1)
-            .count()
+        # improvements are counted while the checkpoint job runs (no extra join)
+        obs = Observation(f"hops_changed_{i}")
+        changed = (~F.col("hops").eqNullSafe(F.col("oh")) | ~F.col("dist").eqNullSafe(F.col("od"))).cast("int")
+        state = reliable_checkpoint(
+            new.observe(obs, F.coalesce(F.sum(changed), F.lit(0)).alias("changed")).drop("oh", "od")
         )
-        state = new
-        if changed == 0:
+        if obs.get["changed"] == 0:
             break
     vj.release()
     return state.select(F.col("id").alias("zone_id"), "hops", F.col("dist").alias("distance"))
