@@ -95,3 +95,24 @@ def test_months_filter(spark):
     n = months_filter(t, ["1995-01", "1995-02", "1995-03"]).count()
     m = t.filter((F.col("pickup_ts") >= "1995-01-01") & (F.col("pickup_ts") < "1995-04-01")).count()
     assert n == m == 2128
+
+
+def test_empty_graph_everywhere(spark):
+    from odgraph.graph import Graph
+    from odgraph.operators import rank, report
+
+    el = spark.createDataFrame([], "src int, dst int, trip_count bigint, avg_distance double")
+    g = Graph.from_edge_list(el)
+    pr = rank.pagerank(g, iterations=3)
+    assert pr.count() == 0 and pr.columns == ["zone_id", "pagerank"]
+    lp = community.label_propagation(g, iterations=2)
+    assert lp.count() == 0 and lp.columns == ["zone_id", "community_id"]
+    h = rank.hits(g, iterations=2)
+    assert h.count() == 0 and h.columns == ["zone_id", "hub", "authority"]
+    lv = louvain.louvain(el)
+    assert lv.count() == 0
+    hd = paths.hop_distance(el)
+    assert hd.count() == 0
+    assert report.cumulative_share(pr).count() == 0
+    conn = community.connectivity(el, lp).first()
+    assert conn.total_trips == 0 and conn.verdict == "no data"
