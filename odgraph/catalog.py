@@ -553,6 +553,27 @@ def q_results_roundtrip(spark, d):
     return _r6(res["community_stats"], "total_pagerank", "avg_pagerank")
 
 
+def _trips_table(spark, d):
+    from odgraph.session import scratch_path
+    from odgraph.sources.trips import write_trips_table
+
+    return write_trips_table(trips(spark, d), scratch_path(spark, "trips_table"))
+
+
+def q_clean_trips_table(spark, d):
+    """F5 on a stored trip table: the cleaning predicate reaches the Parquet reader."""
+    from odgraph.sources.trips import read_trips_table
+
+    return clean.clean_trips(read_trips_table(spark, _trips_table(spark, d))).select(*TRIP_COLS)
+
+
+def q_scan_months_partitioned(spark, d):
+    """S2 on a month-partitioned trip table: only three month folders are read."""
+    from odgraph.sources.trips import read_trips_table
+
+    return read_trips_table(spark, _trips_table(spark, d), MONTHS).select(*TRIP_COLS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -395,3 +395,5 @@ SQL["pagerank_tol"] = with_(*GRAPH, PR_TOL, recursive=True) + (
     " AS pagerank, (SELECT it FROM lastit) AS iterations FROM rt WHERE it = (SELECT it FROM lastit)"
 )
 SQL["results_roundtrip"] = SQL["community_stats"]
+SQL["clean_trips_table"] = SQL["clean_trips"]
+SQL["scan_months_partitioned"] = SQL["scan_months"]

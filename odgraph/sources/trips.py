@@ -136,3 +136,33 @@ def months_filter(df: DataFrame, months: Iterable[str], ts: str = PICKUP_TS) ->
     if cond is None:
         return df.limit(0)
     return df.filter(cond)
+
+
+def write_trips_table(trips: DataFrame, path: str, ts: str = PICKUP_TS) -> str:
+    """Store trips as Parquet partitioned by pickup ``year``/``month``.
+
+    Every task writes the months it holds (no shuffle: funnelling a month
+    into one task would put a twelfth of the data in one task).  Month scans
+    over this layout prune whole folders.
+    """
+    (trips.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
+     .write.mode("overwrite").partitionBy("year", "month").parquet(path))
+    return path
+
+
+def read_trips_table(spark: SparkSession, path: str, months: Iterable[str] | None = None,
+                     keep: Iterable[str] = ()) -> DataFrame:
+    """Read a table written by :func:`write_trips_table`.
+
+    ``months`` (``'YYYY-MM'``) becomes a predicate on the partition columns,
+    so only those folders are listed and read (``PartitionFilters``).
+    """
+    df = spark.read.parquet(path)
+    if months is not None:
+        cond = None
+        for m in sorted(set(months)):
+            y, mo = (int(x) for x in m.split("-"))
+            c = (F.col("year") == y) & (F.col("month") == mo)
+            cond = c if cond is None else (cond | c)
+        df = df.filter(cond) if cond is not None else df.limit(0)
+    return conform_trips(df, keep=keep)
