@@ -106,10 +106,10 @@ def community_extremes(stats: DataFrame) -> DataFrame:
     """Largest and smallest community (ties → smaller id), one aggregate."""
     big = F.struct(F.col("num_zones"), (-F.col("community_id")).alias("neg_id"))
     small = F.struct((-F.col("num_zones")).alias("neg_n"), (-F.col("community_id")).alias("neg_id"))
-    pick = lambda k: F.struct("community_id", "num_zones", "total_pagerank")
+    picked = F.struct("community_id", "num_zones", "total_pagerank")
     row = stats.agg(
-        F.max_by(pick(None), big).alias("largest"),
-        F.max_by(pick(None), small).alias("smallest"),
+        F.max_by(picked, big).alias("largest"),
+        F.max_by(picked, small).alias("smallest"),
         F.count(F.lit(1)).alias("num_communities"),
     )
     return row.select(

@@ -81,3 +81,18 @@ def test_cleaning_filter_is_pushed_to_parquet(spark, tmp_path):
               "GreaterThanOrEqual(fare_amount,0.0)"):
         assert f in pushed
     assert "ReadSchema: struct<PULocationID:int,DOLocationID:int,trip_distance:double" in plan
+
+
+def test_monthly_files_with_drifting_columns(spark, tmp_path):
+    from odgraph.sources.trips import read_trips
+
+    base = fixtures.dirty_trips(spark)
+    jan = str(tmp_path / "m01.parquet")
+    feb = str(tmp_path / "m02.parquet")
+    base.limit(8).write.parquet(jan)
+    base.withColumn("airport_fee", F.lit(1.25)).write.parquet(feb)  # a column added later
+    t = read_trips(spark, [jan, feb], merge_schema=True)
+    assert t.columns == ["PULocationID", "DOLocationID", "trip_distance", "fare_amount", "tip_amount"]
+    assert t.count() == 8 + 15
+    g = read_trips(spark, str(tmp_path / "m0*.parquet"), merge_schema=True)  # path glob (S3)
+    assert g.count() == 23
