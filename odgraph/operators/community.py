@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from odgraph.functions.exprs import pct
 from odgraph.graph import Graph
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, materialize, release, reliable_checkpoint, run_rounds
+from odgraph.plans.iterate import VertexJoin, graph_loop, materialize, release, reliable_checkpoint, run_rounds
 
 
 def vote_table(edges: DataFrame) -> DataFrame:
@@ -46,23 +46,24 @@ def label_propagation(graph: Graph, p: Params = DEFAULTS, iterations: int | None
     """
     iters = p.lpa_iters if iterations is None else iterations
     verts = graph.vertices.select("id")
-    votes = vote_table(graph.edges).persist()
-    on_edge, n = materialize(votes.select(F.col("receiver").alias("id")).distinct())
-    isolated = verts.join(on_edge, "id", "left_anti")
-    vj = VertexJoin(votes, "sender", "receiver", n, p)
-
-    def step(state: DataFrame, _i: int) -> DataFrame:
-        tallies = vj.attach(state).groupBy(F.col("receiver").alias("id"), "label").agg(
-            F.sum("votes").alias("cnt")
-        )
-        return tallies.groupBy("id").agg(
-            F.min_by("label", F.struct((-F.col("cnt")).alias("k"), F.col("label").alias("l"))).alias("label")
-        )
-
-    state0 = on_edge.select("id", F.col("id").cast("bigint").alias("label"))
-    final = run_rounds(state0, step, iters, p)
-    vj.release()
-    release(votes)
+    with graph_loop(graph.edges, p):
+        votes = vote_table(graph.edges).persist()
+        on_edge, n = materialize(votes.select(F.col("receiver").alias("id")).distinct())
+        isolated = verts.join(on_edge, "id", "left_anti")
+        vj = VertexJoin(votes, "sender", "receiver", n, p)
+
+        def step(state: DataFrame, _i: int) -> DataFrame:
+            tallies = vj.attach(state).groupBy(F.col("receiver").alias("id"), "label").agg(
+                F.sum("votes").alias("cnt")
+            )
+            return tallies.groupBy("id").agg(
+                F.min_by("label", F.struct((-F.col("cnt")).alias("k"), F.col("label").alias("l"))).alias("label")
+            )
+
+        state0 = on_edge.select("id", F.col("id").cast("bigint").alias("label"))
+        final = run_rounds(state0, step, iters, p)
+        vj.release()
+        release(votes)
     out = final.unionByName(isolated.select("id", F.col("id").cast("bigint").alias("label")))
     return out.select(F.col("id").alias("zone_id"), F.col("label").alias("community_id"))
 

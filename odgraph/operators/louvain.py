@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, fixed_plans, reliable_checkpoint
+from odgraph.plans.iterate import VertexJoin, graph_loop, reliable_checkpoint
 
 
 def symmetric_adjacency(edge_list: DataFrame, weight: str = "trip_count") -> DataFrame:
@@ -113,7 +113,7 @@ def louvain(edge_list: DataFrame, p: Params = DEFAULTS, weight: str = "trip_coun
     """
     n = symmetric_adjacency(edge_list, weight).select("a").distinct().count()
     loop_p = p if n <= p.broadcast_vertex_limit else p.with_(adaptive_in_loops=True)
-    with fixed_plans(edge_list.sparkSession, loop_p):
+    with graph_loop(edge_list, loop_p):
         return _louvain(edge_list, p, weight, max_levels, max_rounds)
 
 

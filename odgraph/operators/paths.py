@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from odgraph.graph import vertices_of
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, fixed_plans, reliable_checkpoint
+from odgraph.plans.iterate import VertexJoin, graph_loop, reliable_checkpoint
 
 
 def busiest_origin(edge_list: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def hop_distance(edge_list: DataFrame, source: int | None = None, length: str =
     ``hops`` is the BFS level; ``distance`` the shortest Σ ``length`` over
     paths of at most ``max_hops`` edges.  Unreachable zones have nulls.
     """
-    with fixed_plans(edge_list.sparkSession, p):
+    with graph_loop(edge_list, p):
         return _hop_distance(edge_list, source, length, max_hops, p)
 
 

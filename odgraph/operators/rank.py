@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from odgraph.graph import Graph
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, fixed_plans, materialize, release, reliable_checkpoint, run_rounds
+from odgraph.plans.iterate import (
+    VertexJoin, fixed_plans, graph_loop, materialize, release, reliable_checkpoint, run_rounds,
+)
 
 
 def _prepared(graph: Graph, p: Params, weight: str | None):
@@ -82,12 +84,13 @@ def pagerank(graph: Graph, p: Params = DEFAULTS, iterations: int | None = None,
              weight: str | None = None, scale: str = "n") -> DataFrame:
     """G2 (``weight=None``) / G5 (``weight='weight'``): static PageRank."""
     iters = p.pagerank_iters if iterations is None else iterations
-    verts, n, trans = _prepared(graph, p, weight)
-    vj = VertexJoin(trans, "src", "dst", n, p)
-    state0 = verts.select("id", F.lit(1.0).alias("rank"))
-    final = run_rounds(state0, _pagerank_step(vj, verts, p), iters, p)
-    vj.release()
-    release(verts)
+    with graph_loop(graph.edges, p):
+        verts, n, trans = _prepared(graph, p, weight)
+        vj = VertexJoin(trans, "src", "dst", n, p)
+        state0 = verts.select("id", F.lit(1.0).alias("rank"))
+        final = run_rounds(state0, _pagerank_step(vj, verts, p), iters, p)
+        vj.release()
+        release(verts)
     return _scaled(final, n, scale)
 
 
@@ -98,12 +101,12 @@ def pagerank_to_tolerance(graph: Graph, p: Params = DEFAULTS, max_iterations: in
     The convergence test is one small aggregate per round over two
     checkpointed vertex states; the result carries the rounds used.
     """
-    verts, n, trans = _prepared(graph, p, weight)
-    vj = VertexJoin(trans, "src", "dst", n, p)
-    step = _pagerank_step(vj, verts, p)
-    state = reliable_checkpoint(verts.select("id", F.lit(1.0).alias("rank")))
-    used = 0
-    with fixed_plans(graph.edges.sparkSession, p):
+    with graph_loop(graph.edges, p):
+        verts, n, trans = _prepared(graph, p, weight)
+        vj = VertexJoin(trans, "src", "dst", n, p)
+        step = _pagerank_step(vj, verts, p)
+        state = reliable_checkpoint(verts.select("id", F.lit(1.0).alias("rank")))
+        used = 0
         for i in range(max_iterations):
             new = reliable_checkpoint(step(state, i))
             used = i + 1
@@ -115,8 +118,8 @@ def pagerank_to_tolerance(graph: Graph, p: Params = DEFAULTS, max_iterations: in
             state = new
             if delta is None or delta < p.tolerance:
                 break
-    vj.release()
-    release(verts)
+        vj.release()
+        release(verts)
     return _scaled(state, n, scale).withColumn("iterations", F.lit(used))
 
 
@@ -131,36 +134,37 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
     positive rescaling leaves the normalised result unchanged) so that they
     cannot overflow on large graphs.
     """
-    verts, n = materialize(graph.vertices.select("id"))
-    e = graph.edges.select("src", "dst").persist()
-    by_src = VertexJoin(e, "src", "dst", n, p)
-    by_dst = VertexJoin(e, "dst", "src", n, p)
-
-    # a vertex without in-edges (out-edges) gets no authority (hub) row; it
-    # contributes nothing to the next half-step, and is filled with 0 at the end
-    def authority(hub: DataFrame) -> DataFrame:
-        return by_src.attach(hub).groupBy(F.col("dst").alias("id")).agg(F.sum("hub").alias("auth"))
-
-    def hub_of(auth: DataFrame) -> DataFrame:
-        return by_dst.attach(auth).groupBy(F.col("src").alias("id")).agg(F.sum("auth").alias("hub"))
-
-    def l2(df: DataFrame, c: str) -> DataFrame:
-        norm = df.agg(F.sqrt(F.sum(F.col(c) * F.col(c)))).scalar()
-        return df.select("id", F.try_divide(F.col(c), norm).alias(c))
-
-    hub0 = verts.select("id", F.lit(1.0).alias("hub"))
-    if iterations <= 0:
-        auth = verts.select("id", F.lit(1.0).alias("auth"))
-        hub = hub0
-    else:
-        hub_prev = run_rounds(hub0, lambda h, _i: hub_of(authority(h)), iterations - 1, p,
-                              after_checkpoint=lambda h: l2(h, "hub"))
-        with fixed_plans(graph.edges.sparkSession, p):
-            auth = reliable_checkpoint(authority(l2(hub_prev, "hub")))
-            hub = reliable_checkpoint(hub_of(auth))
-    by_src.release()
-    by_dst.release()
-    release(verts, e)
+    with graph_loop(graph.edges, p):
+        verts, n = materialize(graph.vertices.select("id"))
+        e = graph.edges.select("src", "dst").persist()
+        by_src = VertexJoin(e, "src", "dst", n, p)
+        by_dst = VertexJoin(e, "dst", "src", n, p)
+
+        # a vertex without in-edges (out-edges) gets no authority (hub) row; it
+        # contributes nothing to the next half-step, and is filled with 0 at the end
+        def authority(hub: DataFrame) -> DataFrame:
+            return by_src.attach(hub).groupBy(F.col("dst").alias("id")).agg(F.sum("hub").alias("auth"))
+
+        def hub_of(auth: DataFrame) -> DataFrame:
+            return by_dst.attach(auth).groupBy(F.col("src").alias("id")).agg(F.sum("auth").alias("hub"))
+
+        def l2(df: DataFrame, c: str) -> DataFrame:
+            norm = df.agg(F.sqrt(F.sum(F.col(c) * F.col(c)))).scalar()
+            return df.select("id", F.try_divide(F.col(c), norm).alias(c))
+
+        hub0 = verts.select("id", F.lit(1.0).alias("hub"))
+        if iterations <= 0:
+            auth = verts.select("id", F.lit(1.0).alias("auth"))
+            hub = hub0
+        else:
+            hub_prev = run_rounds(hub0, lambda h, _i: hub_of(authority(h)), iterations - 1, p,
+                                  after_checkpoint=lambda h: l2(h, "hub"))
+            with fixed_plans(graph.edges.sparkSession, p):
+                auth = reliable_checkpoint(authority(l2(hub_prev, "hub")))
+                hub = reliable_checkpoint(hub_of(auth))
+        by_src.release()
+        by_dst.release()
+        release(verts, e)
     out = (
         verts.join(l2(hub, "hub"), "id", "left").join(l2(auth, "auth"), "id", "left")
         .select(

@@ -63,6 +63,7 @@ class Params:
     hot_list_limit: int = 1_000_000  # bound on broadcast hot-vertex rows (raises salt_rows if needed)
     global_window_limit: int = 1_000_000
     adaptive_in_loops: bool = False
+    edges_per_partition: int = 250_000  # loop partitions = ceil(|E| / this), capped by the session's
     round_join: str = "copartition"  # or "broadcast" (state broadcast each round, size-checked)
 
     def with_(self, **kw) -> "Params":

@@ -53,29 +53,55 @@ NSALT = "_nsalt"
 
 
 @contextmanager
-def fixed_plans(spark, p: Params = DEFAULTS):
-    """Run the loop's actions without adaptive re-planning; restore afterwards.
-
-    Round plans are fixed by construction (the state join is chosen by a
-    size check, skew is removed by salting), so AQE's stage-by-stage
-    re-optimisation only adds latency: 20 PageRank rounds take ~2x longer
-    with it at sf0.1.  The caller's setting is restored on exit, so the
-    frames returned to the caller are planned with the session's own
-    configuration.
+def fixed_plans(spark, p: Params = DEFAULTS, partitions: int | None = None):
+    """Run a loop's actions with fixed plans; restore the settings afterwards.
+
+    * AQE off: round plans are fixed by construction (the state join is
+      co-partitioned or salted, skew is removed by salting), so AQE's
+      stage-by-stage re-optimisation only adds latency (20 PageRank rounds
+      took ~2x longer with it at sf0.1).
+    * ``partitions``: the loop's shuffle partition count (see
+      :func:`loop_partitions`), so that the partitioned edge table and every
+      round's state aggregation agree, and a small graph is not spread over
+      a cluster-sized default (32 partitions made 20 rounds 3x slower than
+      2 at sf0.1).
+
+    The caller's settings are restored on exit, so frames returned to the
+    caller are planned with the session's own configuration.
     """
-    key = "spark.sql.adaptive.enabled"
-    if p.adaptive_in_loops:
-        yield
-        return
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
+    keys = {}
+    if not p.adaptive_in_loops:
+        keys["spark.sql.adaptive.enabled"] = "false"
+    if partitions is not None:
+        keys["spark.sql.shuffle.partitions"] = str(int(partitions))
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def loop_partitions(spark, n_edges: int, p: Params = DEFAULTS) -> int:
+    """Partitions for a graph loop: ≤ ``edges_per_partition`` edges per task,
+    at most the session's ``spark.sql.shuffle.partitions``."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, math.ceil(n_edges / max(p.edges_per_partition, 1))))
+
+
+@contextmanager
+def graph_loop(edges: DataFrame, p: Params = DEFAULTS):
+    """Context for one iterative operator: counts the edges once, then fixes
+    plans and the loop partition count for everything built inside."""
+    spark = edges.sparkSession
+    parts = loop_partitions(spark, edges.count(), p)
+    with fixed_plans(spark, p, parts):
+        yield parts
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
