@@ -71,3 +71,30 @@ def test_salted_round_join_does_not_shuffle_edges(spark):
     assert mode == "salted"
     assert "SortMergeJoin" in plan
     assert "Exchange hashpartitioning(src" not in plan.split("\n\n")[0]
+
+
+def test_hot_vertex_is_salted_and_results_unchanged(spark):
+    from odgraph.operators import community, rank
+
+    # vertex 1 holds half of all edges (a star), the rest is a ring
+    star = [(1, d) for d in range(2, 302)]
+    ring = [(d, d % 300 + 2) for d in range(2, 302)]
+    el = spark.createDataFrame([(s, d, 1) for s, d in star + ring], "src int, dst int, trip_count bigint")
+    g = Graph.from_edge_list(el)
+    hot_p = DEFAULTS.with_(salt_rows=50)
+
+    with iterate.fixed_plans(spark, hot_p):
+        vj = iterate.VertexJoin(g.edges.select("src", "dst"), "src", "dst", 301, hot_p)
+    assert vj.mode == "salted"
+    assert [(r._hid, r._nsalt) for r in vj.hot.collect()] == [(1, 6)]
+    vj.release()
+
+    a = {r.zone_id: r.pagerank for r in rank.pagerank(g).collect()}
+    b = {r.zone_id: r.pagerank for r in rank.pagerank(g, hot_p).collect()}
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-12
+    la = sorted(map(tuple, community.label_propagation(g).collect()))
+    lb = sorted(map(tuple, community.label_propagation(g, hot_p).collect()))
+    assert la == lb
+    ha = {r.zone_id: r.hub for r in rank.hits(g).collect()}
+    hb = {r.zone_id: r.hub for r in rank.hits(g, hot_p).collect()}
+    assert max(abs(ha[k] - hb[k]) for k in ha) < 1e-12
