@@ -574,6 +574,11 @@ def q_scan_months_partitioned(spark, d):
     return read_trips_table(spark, _trips_table(spark, d), MONTHS).select(*TRIP_COLS)
 
 
+def q_clean_audit_observed(spark, d):
+    """F6 collected during the edge-list pass (no scan of its own)."""
+    return _r6(pipe(spark, d).audit, "removed_pct")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

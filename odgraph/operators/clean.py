@@ -14,16 +14,10 @@ def clean_trips(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     return trips.filter(valid_trip(p))
 
 
-def cleaning_audit(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """one aggregate pass — original, kept, removed, removed % and per rule.
-
-    The reference counts before and after the filter (two scans) and divides
-    by zero on empty input; here a single ``agg`` with ``count_if`` returns
-    one row, and the percentage is null for an empty table.
-    """
+def _audit_aggs(p: Params):
     pu, do, fare = F.col(PICKUP), F.col(DROPOFF), F.col(FARE)
     in_range = lambda c: c.between(p.min_zone, p.max_zone)
-    row = trips.agg(
+    return [
         F.count(F.lit(1)).alias("original_rows"),
         F.count_if(valid_trip(p)).alias("kept_rows"),
         F.count_if(pu.isNull()).alias("null_pickup"),
@@ -33,7 +27,10 @@ def cleaning_audit(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
         F.count_if(pu == do).alias("self_loops"),
         F.count_if(fare < 0).alias("negative_fare"),
         F.count_if(fare.isNull()).alias("null_fare"),
-    )
+    ]
+
+
+def _audit_row(row: DataFrame) -> DataFrame:
     return row.select(
         "original_rows",
         "kept_rows",
@@ -47,3 +44,35 @@ def cleaning_audit(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
         "negative_fare",
         "null_fare",
     )
+
+
+def cleaning_audit(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """one aggregate pass — original, kept, removed, removed % and per rule.
+
+    The reference counts before and after the filter (two scans) and divides
+    by zero on empty input; here a single ``agg`` with ``count_if`` returns
+    one row, and the percentage is null for an empty table.
+    """
+    return _audit_row(trips.agg(*_audit_aggs(p)))
+
+
+def observe_audit(trips: DataFrame, name: str, p: Params = DEFAULTS):
+    """F6 without a scan of its own: ``(observed_trips, observation)``.
+
+    The audit counts are collected while whatever action consumes
+    ``observed_trips`` (e.g. the edge-list build) runs; read them with
+    :func:`audit_from_observation` afterwards.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return trips.observe(obs, *_audit_aggs(p)), obs
+
+
+def audit_from_observation(spark, obs) -> DataFrame:
+    """The one-row audit frame from a completed observation."""
+    m = obs.get
+    cols = ["original_rows", "kept_rows", "null_pickup", "null_dropoff", "pickup_out_of_range",
+            "dropoff_out_of_range", "self_loops", "negative_fare", "null_fare"]
+    row = spark.createDataFrame([tuple(int(m[c]) for c in cols)], ", ".join(f"{c} bigint" for c in cols))
+    return _audit_row(row)

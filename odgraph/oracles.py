@@ -397,3 +397,4 @@ SQL["pagerank_tol"] = with_(*GRAPH, PR_TOL, recursive=True) + (
 SQL["results_roundtrip"] = SQL["community_stats"]
 SQL["clean_trips_table"] = SQL["clean_trips"]
 SQL["scan_months_partitioned"] = SQL["scan_months"]
+SQL["clean_audit_observed"] = SQL["clean_audit"]
