@@ -579,6 +579,21 @@ def q_clean_audit_observed(spark, d):
     return _r6(pipe(spark, d).audit, "removed_pct")
 
 
+def q_metrics_json_latest(spark, d):
+    """S11 + S19: two benchmark runs saved as JSON files; the latest read back."""
+    import time
+
+    from odgraph.session import scratch_path
+
+    t = trips(spark, d)
+    folder = scratch_path(spark, "benchmarks")
+    io.save_metrics_json(scaling.benchmark_build(spark, t, 0.05, "run_a", seed=1), f"{folder}/run=a")
+    time.sleep(1.1)  # distinct file modification times
+    io.save_metrics_json(scaling.benchmark_build(spark, t, 0.05, "run_b", seed=2), f"{folder}/run=b")
+    back = io.read_metrics_json(spark, folder, scaling.BUILD_METRICS)
+    return io.latest_metrics(back).select("run_name", "step", "sample_fraction", "raw_rows", "edges")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
