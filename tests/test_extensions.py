@@ -116,3 +116,13 @@ def test_empty_graph_everywhere(spark):
     assert report.cumulative_share(pr).count() == 0
     conn = community.connectivity(el, lp).first()
     assert conn.total_trips == 0 and conn.verdict == "no data"
+
+
+def test_louvain_large_graph_path_matches(spark, tiny_params):
+    from odgraph.plans.pipeline import Pipeline
+    from odgraph.sources.trips import trips
+
+    el = Pipeline(trips(spark, "/root/testdata/sf0.001")).edge_list
+    a = sorted(map(tuple, louvain.louvain(el).select("zone_id", "community_id").collect()))
+    b = sorted(map(tuple, louvain.louvain(el, tiny_params).select("zone_id", "community_id").collect()))
+    assert a == b
