@@ -65,6 +65,14 @@ def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[Da
     moved_total, idle = 0, 0
     for rnd in range(max_rounds):
         tot = state.join(nodes, "id").groupBy(F.col("comm").alias("C")).agg(F.sum("k").alias("tot"))
+        tot_src = None
+        if not small:
+            # per-community totals: broadcast whenever the community count
+            # (counted this round) is within the bound — this removes the skew
+            # of a giant community on the join below; otherwise a shuffle join
+            # under AQE's skew handling
+            tot_src = tot.persist()
+            tot = F.broadcast(tot_src) if tot_src.count() <= p.broadcast_vertex_limit else tot_src
         to_comm = vj.attach(state.select("id", F.col("comm").alias("C"))).select(
             F.col("a").alias("id"), "C", "w"
         )
@@ -73,7 +81,7 @@ def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[Da
         cand = (
             kic.join(bc(state.select("id", F.col("comm").alias("D"))), "id")
             .join(bc(nodes), "id")
-            .join(bc(tot), "C")
+            .join(bc(tot) if small else tot, "C")
         )
         tot_wo = F.when(F.col("C") == F.col("D"), F.col("tot") - F.col("k")).otherwise(F.col("tot"))
         cand = cand.withColumn("gain", F.col("kic") - tot_wo * F.col("k") / F.lit(two_m))
@@ -94,6 +102,8 @@ def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[Da
             new.observe(obs, F.coalesce(F.sum("_moved"), F.lit(0)).alias("moved")).drop("_moved")
         )
         moved = obs.get["moved"]
+        if tot_src is not None:
+            tot_src.unpersist()
         moved_total += moved
         idle = idle + 1 if moved == 0 else 0
         if idle >= 2:

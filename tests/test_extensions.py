@@ -126,3 +126,7 @@ def test_louvain_large_graph_path_matches(spark, tiny_params):
     a = sorted(map(tuple, louvain.louvain(el).select("zone_id", "community_id").collect()))
     b = sorted(map(tuple, louvain.louvain(el, tiny_params).select("zone_id", "community_id").collect()))
     assert a == b
+    # 258 vertices > 100: large path; community totals get broadcast once ≤ 100 communities remain
+    mid = tiny_params.with_(broadcast_vertex_limit=100)
+    c = sorted(map(tuple, louvain.louvain(el, mid).select("zone_id", "community_id").collect()))
+    assert a == c
