@@ -549,7 +549,8 @@ def q_results_roundtrip(spark, d):
     pp.save(out)
     res = io.load_results(spark, out)
     edges_back, ranks_back = io.load_graph_data(spark, out)
-    assert edges_back.columns[:2] == ["src", "dst"] and ranks_back.columns == ["zone_id", "pagerank"]
+    if edges_back.columns[:2] != ["src", "dst"] or ranks_back.columns != ["zone_id", "pagerank"]:
+        raise ValueError("saved graph data does not have the declared schema")
     return _r6(res["community_stats"], "total_pagerank", "avg_pagerank")
 
 
