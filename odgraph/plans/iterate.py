@@ -139,6 +139,22 @@ def release(*dfs: DataFrame) -> None:
         d.unpersist()
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet in the shared checkpoint folder.
+
+    Used at the big-scan boundary (the edge list): the plan is computed once
+    by the write job (a persisted checkpoint would also compute it once, but
+    a cached plan keeps its full shuffle partition count, AQE cannot
+    coalesce it), and the table can be read by later applications, like the
+    reference's HDFS hand-off between steps.
+    """
+    from odgraph.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class VertexJoin:
     """Attach per-vertex state to edges on the ``key`` endpoint, skew-safe.
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from odgraph.graph import Graph
 from odgraph.operators import clean, community, edges, rank
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import reliable_checkpoint
+from odgraph.plans.iterate import reliable_checkpoint, write_table
 
 
 class Pipeline:
@@ -39,7 +39,7 @@ class Pipeline:
         # the rule keeps ~89 % of trips, so row-group skipping would save
         # little.  Column pruning still limits the scan to the used columns.
         observed, obs = clean.observe_audit(self.trips, f"audit_{id(self)}", self.p)
-        el = reliable_checkpoint(edges.build_edge_list(clean.clean_trips(observed, self.p)))
+        el = write_table(edges.build_edge_list(clean.clean_trips(observed, self.p)), "edge_list")
         return el, obs
 
     @cached_property
