@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odgraph.llm import curriculum, decontaminate, langid, simhash, urlfilter
+from odgraph.llm import curriculum, decontaminate, htmltext, langid, ngram, simhash, urlfilter
 from odgraph.llm.common import table
 
 URL_RULES = (
@@ -43,12 +43,24 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, carry=(held_out("doc_id", 4).alias("held_out"),))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a Kneser-Ney model of those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = ngram.train(docs.where(~held_out("doc_id", 7)))
+    return ngram.score(docs, model, carry=(held_out("doc_id", 7).alias("held_out"),)).drop("perplexity")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     placed = curriculum.assign(table(spark, sf_dir, "documents"))
     return placed.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -61,6 +73,8 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
+    "op7_lm_score": op7_lm_score,
     "op8_mixing": op8_mixing,
+    "op9_html_text": op9_html_text,
     "op10_decontaminate": op10_decontaminate,
 }
