@@ -10,9 +10,8 @@ as the next one's ``docs``.  All but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from odgraph.llm import curriculum, decontaminate, langid, simhash
+from odgraph.llm import curriculum, decontaminate, langid, linededup, simhash
 from odgraph.llm.common import cut, table
 
 
@@ -21,6 +20,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs, langid.train(docs))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops recurring lines; documents that have no other line go."""
+    return linededup.without_boilerplate(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each SimHash group."""
     return simhash.simhash_dedup(docs, shingle=3, radius=3)
@@ -38,6 +42,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language_id),
+    ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
     ("decontamination", benchmark_decontamination),
     ("mixing", mixing),

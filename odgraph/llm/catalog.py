@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odgraph.llm import curriculum, decontaminate, htmltext, langid, ngram, simhash, urlfilter
+from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, linededup, ngram, simhash, urlfilter
 from odgraph.llm.common import table
 
 URL_RULES = (
@@ -31,6 +31,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors with cosine of at least 0.9."""
+    return embeddings.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's url."""
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
@@ -43,6 +48,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, carry=(held_out("doc_id", 4).alias("held_out"),))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs)
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document under a Kneser-Ney model of those not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -71,8 +82,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_embedding": op2_embedding,
     "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
+    "op6_line_dedup": op6_line_dedup,
     "op7_lm_score": op7_lm_score,
     "op8_mixing": op8_mixing,
     "op9_html_text": op9_html_text,

@@ -2,6 +2,27 @@
 
 SQL = {}
 
+SQL["op2_embedding"] = r"""
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+usable AS (
+  SELECT * FROM vectors
+  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM usable a, usable b
+  WHERE a.r <> b.r AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(r, b) AS (
+  SELECT r, r FROM usable
+  UNION
+  SELECT reach.r, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.r, min(vec_id) AS component_id FROM reach JOIN vectors v ON v.r = reach.b GROUP BY reach.r),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id IS NOT DISTINCT FROM coalesce(component_id, vec_id) AS kept
+FROM vectors LEFT JOIN least USING (r) LEFT JOIN counted ON counted.a = vectors.r
+"""
+
 SQL["op4_url_filter"] = r"""
 WITH parts AS (
   SELECT page_id,
@@ -25,6 +46,41 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+SQL["op6_line_dedup"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT r, doc_id, pos, line,
+         array_to_string(list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+                         lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END), ' ') AS masked
+  FROM (SELECT r, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM docs)),
+counted AS (
+  SELECT masked, string_split(masked, ' ') AS tokens, count(DISTINCT r) AS docs,
+         min(doc_id) AS first_id, max(doc_id) AS last_id
+  FROM lines WHERE masked <> '' GROUP BY masked),
+links AS (
+  SELECT a.masked AS a, b.masked AS b FROM counted a JOIN counted b
+    ON len(a.tokens) = len(b.tokens) AND a.tokens[1:3] = b.tokens[1:3] AND a.masked <> b.masked
+  WHERE len(list_filter(list_zip(a.tokens, b.tokens), lambda p: p[1] <> p[2]))
+        <= floor(len(a.tokens) * (1 - 0.8) + 1e-9)),
+reach(masked, b) AS (
+  SELECT masked, masked FROM counted
+  UNION
+  SELECT reach.masked, links.b FROM reach JOIN links ON reach.b = links.a),
+often AS (
+  SELECT reach.masked, min(first_id) AS first_id
+  FROM reach JOIN counted c ON c.masked = reach.b
+  GROUP BY reach.masked HAVING sum(docs) >= 5 AND min(first_id) <> max(last_id)),
+kept AS (
+  SELECT r, coalesce(string_agg(line, chr(10) ORDER BY pos)
+                     FILTER (WHERE first_id IS NULL OR doc_id = first_id), '') AS text,
+         count(*) FILTER (WHERE first_id IS NOT NULL AND doc_id <> first_id) AS n_dropped
+  FROM lines LEFT JOIN often USING (masked) GROUP BY r)
+SELECT doc_id, CASE WHEN docs.text IS NULL THEN NULL ELSE kept.text END AS text,
+       coalesce(len(parts), 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped
+FROM docs LEFT JOIN kept USING (r)
+"""
+
 SQL["op8_mixing"] = r"""
 WITH RECURSIVE sized AS (
   SELECT row_number() OVER () AS r, doc_id, source,
