@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, linededup, ngram, simhash, urlfilter
+from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, licenses, linededup, ngram, simhash, urlfilter
 from odgraph.llm.common import table
 
 URL_RULES = (
@@ -36,6 +36,21 @@ def op2_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
+def document_paths(docs: DataFrame) -> DataFrame:
+    """``documents`` as files: ``source/lang/hundreds/doc_id``."""
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+    return docs.select("doc_id", path.alias("path"), "text")
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every document: its own, or that of the nearest directory in
+    which a document opens with a license statement (the table names no files)."""
+    files = document_paths(table(spark, sf_dir, "documents"))
+    found = licenses.scan_licenses(files, openers_declare=True)
+    return found.select(F.substring_index("path", "/", -1).cast("long").alias("doc_id"), "path", "own_license",
+                        "own_score", "license", "inherited_from")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's url."""
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
@@ -83,6 +98,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_embedding": op2_embedding,
+    "op3_license_scan": op3_license_scan,
     "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,

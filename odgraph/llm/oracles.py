@@ -1,5 +1,7 @@
 """DuckDB SQL of the registered corpus queries that SQL can express."""
 
+from odgraph.llm.licenses import TEMPLATES
+
 SQL = {}
 
 SQL["op2_embedding"] = r"""
@@ -23,6 +25,54 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id)
 FROM vectors LEFT JOIN least USING (r) LEFT JOIN counted ON counted.a = vectors.r
 """
 
+SQL["op3_license_scan"] = r"""
+WITH templates(name, line) AS (VALUES
+{templates}),
+bags AS (
+  SELECT name, term, count(*) AS n
+  FROM (SELECT name, unnest(regexp_extract_all(translate(line, '{upper}', '{lower}'), '[a-z0-9]+')) AS term FROM templates)
+  GROUP BY name, term),
+idf AS (SELECT term, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*)::DOUBLE)) + 1 AS idf FROM bags GROUP BY term),
+vectors AS (
+  SELECT name, term, n * idf / sqrt(sum((n * idf) ** 2) OVER (PARTITION BY name)) AS weight
+  FROM bags JOIN idf USING (term)),
+files AS (
+  SELECT row_number() OVER () AS r, doc_id, translate(text, '{upper}', '{lower}') AS text,
+         concat_ws('/', source, lang, (doc_id // 100)::VARCHAR, doc_id::VARCHAR) AS path,
+         concat_ws('/', source, lang, (doc_id // 100)::VARCHAR) AS dir
+  FROM documents),
+units AS (
+  SELECT r, 0 AS unit, text AS line FROM files
+  UNION ALL
+  SELECT r, unnest(range(1, len(l) + 1)) AS unit, unnest(l) AS line
+  FROM (SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[a-z0-9]')) AS l FROM files)),
+terms AS (
+  SELECT r, unit, term, count(*) AS n
+  FROM (SELECT r, unit, unnest(regexp_extract_all(line, '[a-z0-9]+')) AS term FROM units) GROUP BY r, unit, term),
+weighed AS (
+  SELECT r, unit, term, n * coalesce(idf, ln(1 + (SELECT count(*) FROM templates)) + 1) AS x
+  FROM terms LEFT JOIN idf USING (term)),
+norms AS (SELECT r, unit, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY r, unit),
+scores AS (
+  SELECT r, unit, name, round(sum(x * weight) / any_value(norm), 6) AS score
+  FROM weighed JOIN vectors USING (term) JOIN norms USING (r, unit)
+  GROUP BY r, unit, name HAVING round(sum(x * weight) / any_value(norm), 6) >= 0.8),
+own AS (
+  SELECT r, max(score) AS own_score, min_by(name, (-score, name)) AS own_license, bool_or(unit <= 1) AS declares
+  FROM scores GROUP BY r),
+declared AS (
+  SELECT dir, min_by(own_license, (-own_score, path)) AS given
+  FROM files JOIN own USING (r) WHERE declares GROUP BY dir),
+near AS (
+  SELECT r, min_by(d.given, -length(d.dir)) AS given, min_by(d.dir, -length(d.dir)) AS near_dir
+  FROM files f JOIN declared d ON f.dir = d.dir OR starts_with(f.dir, d.dir || '/')
+  GROUP BY r)
+SELECT doc_id, path, own_license, own_score, coalesce(own_license, given) AS license,
+       CASE WHEN own_license IS NULL THEN near_dir END AS inherited_from
+FROM files LEFT JOIN own USING (r) LEFT JOIN near USING (r)
+""".replace("{templates}", ",\n".join(f"  ('{n}', '{t}')" for n, t in TEMPLATES)).replace(
+    "{upper}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ").replace("{lower}", "abcdefghijklmnopqrstuvwxyz")
+
 SQL["op4_url_filter"] = r"""
 WITH parts AS (
   SELECT page_id,
