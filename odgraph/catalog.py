@@ -1,7 +1,7 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
 Every query reads the driver's tables (the ``trips`` view is derived from
-``lineitem``) in full.  Doubles are rounded at the very end so results can
+``lineitem``) in full; the sampling operators sample them as their feature.  Doubles are rounded at the very end so results can
 be compared with an independent SQL engine: 6 places for averages, ranks
 and shares, 4 for per-edge sums, 2 for global sums.
 
@@ -182,14 +182,17 @@ def q_top100_export(spark, d):
 
 
 def q_union_files(spark, d):
-    """Trips written as one file set per ship year, read back as one table."""
+    """Monthly files of two widths (64-bit ids in odd years, 32-bit in even), read as one table."""
     from odgraph.session import scratch_path
     from odgraph.sources.trips import read_trips
 
     t = trips(spark, d).withColumn("year", F.year("pickup_ts"))
     path = scratch_path(spark, "trips_by_year")
-    t.write.mode("overwrite").partitionBy("year").parquet(path)
-    return read_trips(spark, path, merge_schema=True, glob="*.parquet").select(*TRIP_COLS)
+    wide = {PICKUP: F.col(PICKUP).cast("bigint"), DROPOFF: F.col(DROPOFF).cast("bigint")}
+    t.where("year % 2 = 1").withColumns(wide).hint("rebalance").write.parquet(f"{path}/wide")
+    t.where("year % 2 = 0 OR year IS NULL").hint("rebalance").write.parquet(f"{path}/narrow")
+    both = read_trips(spark, [f"{path}/wide", f"{path}/narrow"])
+    return both.select(F.col(PICKUP).cast("int"), F.col(DROPOFF).cast("int"), DISTANCE, FARE, TIP)
 
 
 # ------------------------------------------------------------------ ranks
@@ -320,49 +323,52 @@ def q_sweep_counts(spark, d):
     return scaling.sweep_counts(trips(spark, d))
 
 
+SWEEP = (1, 5, 10, 20, 50, 100)
+
+
 def q_sweep_build(spark, d):
-    t = trips(spark, d)
-    parts = [scaling.benchmark_build(spark, t, f, f"sample_{int(f * 100)}pct", seed=42) for f in (0.01, 0.05, 0.1)]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    """B1 over the whole sweep: the counts of every sample size, without the clock."""
+    counts = scaling.sweep_counts(trips(spark, d), SWEEP)
+    return counts.select(
+        F.format_string("sample_%dpct", F.col("sample_pct")).alias("run_name"), F.lit("build_graph").alias("step"),
+        (F.col("sample_pct") / 100).alias("sample_fraction"), "raw_rows", "cleaned_rows", "edges")
 
 
 def q_sweep_pagerank(spark, d):
+    """B2 on a tenth of the trips and on all: graph sizes and rounds, without the clock."""
     t = trips(spark, d)
-    return scaling.benchmark_pagerank(spark, t, 0.1, "sample_10pct", seed=42)
+    runs = [scaling.benchmark_pagerank(spark, t, pct, f"sample_{pct}pct") for pct in (10, 100)]
+    return runs[0].unionByName(runs[1]).select("run_name", "step", "sample_fraction", "vertices", "edges", "iterations")
 
 
-def _stress(spark, d):
+def _coverage(spark, d):
     t = trips(spark, d)
-    single = scaling.stress_tests(spark, t, "reference_plan", fused=False)
-    cluster = scaling.stress_tests(spark, t, "fused_plan", fused=True)
-    return single, cluster
+    return scaling.coverage_metrics(t, "raw", SWEEP), scaling.coverage_metrics(t, "clean", SWEEP)
 
 
-def q_speedup(spark, d):
-    single, cluster = _stress(spark, d)
-    return scaling.compare_metrics(single, cluster)
+def q_compare_metrics(spark, d):
+    raw, kept = _coverage(spark, d)
+    return _r6(scaling.compare_metrics(raw, kept), "speedup")
 
 
 def q_success_rate(spark, d):
-    single, cluster = _stress(spark, d)
-    return scaling.success_rate(single.unionByName(cluster))
+    raw, kept = _coverage(spark, d)
+    return _r6(scaling.success_rate(raw.unionByName(kept)), "success_pct")
 
 
 def q_stress_curve(spark, d):
-    single, cluster = _stress(spark, d)
-    return scaling.stress_curve(single.unionByName(cluster))
+    raw, kept = _coverage(spark, d)
+    return scaling.stress_curve(raw.unionByName(kept))
 
 
 def q_run_summary(spark, d):
-    t = trips(spark, d)
-    b = scaling.benchmark_build(spark, t, 0.05, "sample_5pct", seed=42)
-    pr = scaling.benchmark_pagerank(spark, t, 0.05, "sample_5pct", seed=42)
-    return scaling.run_summary(b, pr)
-
-
+    """X6 over a build and a rank table whose minutes come from counts."""
+    counts = scaling.sweep_counts(trips(spark, d), SWEEP)
+    name = F.format_string("sample_%dpct", F.col("sample_pct")).alias("run_name")
+    fraction = (F.col("sample_pct") / 100).alias("sample_fraction")
+    build = counts.select(name, F.lit("build_graph").alias("step"), fraction, (F.col("raw_rows") / 6e7).alias("runtime_minutes"))
+    ranks = counts.select(name, F.lit("pagerank").alias("step"), fraction, (F.col("edges") / 6e7).alias("total_runtime_minutes"))
+    return round_cols(scaling.run_summary(build, ranks), {"runtime_minutes": 9})
 
 
 # ------------------------------------------------------------------ tier B: more centrality
@@ -417,6 +423,14 @@ def q_zone_lookup_csv(spark, d):
     return io.read_zone_lookup(spark, path)
 
 
+def q_zone_features(spark, d):
+    """The feature table that k-means clusters."""
+    from odgraph.operators import zones
+
+    pp = pipe(spark, d)
+    return _r6(zones.zone_features(pp.ranks, pp.degrees, pp.hits), *zones.FEATURES)
+
+
 def q_zone_kmeans(spark, d):
     from odgraph.operators import zones
 
@@ -429,10 +443,11 @@ def q_louvain(spark, d):
 
 
 def q_louvain_modularity(spark, d):
-    from odgraph.operators import louvain
-
+    """Modularity of label propagation, and whether Louvain's is at least that."""
     pp = pipe(spark, d)
-    return _r6(community.modularity(pp.edge_list, pp.louvain), "modularity")
+    lpa = community.modularity(pp.edge_list, pp.communities).select(F.col("modularity").alias("lpa_modularity"))
+    own = community.modularity(pp.edge_list, pp.louvain).agg(F.max("modularity")).scalar()
+    return _r6(lpa.withColumn("louvain_not_worse", own >= F.col("lpa_modularity") - 1e-12), "lpa_modularity")
 
 
 # ------------------------------------------------------------------ tier C: paths, time, streams
@@ -487,14 +502,16 @@ def q_edges_by_window(spark, d):
 
 
 def q_stream_edges(spark, d):
+    """P1 over the table's files, at most 16 a micro-batch."""
     from odgraph.session import scratch_path
     from odgraph.sources.trips import trips_from_lineitem
     from odgraph.streaming import edges as sedges
 
     out = scratch_path(spark, "stream_edges")
+    folder, glob = io.stream_source(spark, f"{d.rstrip('/')}/lineitem.parquet")
     sedges.run_stream_edges(
-        spark, d, out, scratch_path(spark, "stream_ckpt"),
-        schema=table(spark, d, "lineitem").schema, transform=trips_from_lineitem, glob="lineitem.parquet",
+        spark, folder, out, scratch_path(spark, "stream_ckpt"), schema=table(spark, d, "lineitem").schema,
+        transform=trips_from_lineitem, glob=glob, max_files_per_trigger=16,
     )
     return _window_out(sedges.read_stream_result(spark, out))
 
@@ -504,15 +521,15 @@ def q_size_rank_corr(spark, d):
 
 
 def q_status_counts(spark, d):
-    single, cluster = _stress(spark, d)
-    return scaling.status_counts(single.unionByName(cluster))
+    raw, kept = _coverage(spark, d)
+    return scaling.status_counts(raw.unionByName(kept))
 
 
 def q_metrics_csv_roundtrip(spark, d):
     from odgraph.session import scratch_path
 
-    single, cluster = _stress(spark, d)
-    path = io.write_metrics_csv(single.unionByName(cluster), scratch_path(spark, "metrics_csv"))
+    raw, kept = _coverage(spark, d)
+    path = io.write_metrics_csv(raw.unionByName(kept), scratch_path(spark, "metrics_csv"))
     return io.read_metrics_csv(spark, path, scaling.STRESS_METRICS)
 
 
@@ -531,34 +548,57 @@ def q_hourly_profile(spark, d):
 
 
 def q_report_csvs(spark, d):
-    """Both report files written, then read back and stacked."""
+    """Both report files written, read back and stacked."""
     from odgraph.session import scratch_path
 
     pp = pipe(spark, d)
     paths = report.write_reports(pp.ranks, pp.community_stats, scratch_path(spark, "reports"))
-    summ = io.read_csv(spark, paths["summary"], "metric string, value double")
-    return _r6(summ, "value")
+    summary = io.read_csv(spark, paths["summary"], "metric string, value double")
+    top = io.read_csv(spark, paths["top"], "zone_id int, pagerank double")
+    return _r6(summary.select(F.lit("summary").alias("file"), "metric", "value").unionAll(
+        top.select(F.lit("top"), F.col("zone_id").cast("string"), "pagerank")), "value")
 
 
 def q_results_roundtrip(spark, d):
-    """The pipeline's outputs saved (Parquet + CSV) and loaded back."""
+    """Every saved output (Parquet and CSV) loaded back and stacked."""
     from odgraph.session import scratch_path
 
     pp = pipe(spark, d)
     out = scratch_path(spark, "pipeline")
-    pp.save(out)
+    paths = pp.save(out)
+    edge_back, rank_back = io.load_graph_data(spark, out)
     res = io.load_results(spark, out)
-    edges_back, ranks_back = io.load_graph_data(spark, out)
-    if edges_back.columns[:2] != ["src", "dst"] or ranks_back.columns != ["zone_id", "pagerank"]:
-        raise ValueError("saved graph data does not have the declared schema")
-    return _r6(res["community_stats"], "total_pagerank", "avg_pagerank")
+    csv = {k: io.csv_path_for(paths[k]) for k in ("edges", "communities", "community_stats")}
+    tables = {
+        "edges": edge_back,
+        "edges_csv": io.read_csv(spark, csv["edges"], edge_back.schema),
+        "pagerank": rank_back,
+        "results_pagerank": res["pagerank"],
+        "communities": res["communities"],
+        "communities_csv": io.read_csv(spark, csv["communities"], io.COMMUNITY_SCHEMA),
+        "community_stats": res["community_stats"],
+        "community_stats_csv": io.read_csv(spark, csv["community_stats"], io.STATS_SCHEMA),
+    }
+    keys = {"edges": ("src", "dst", "total_fare"), "pagerank": ("zone_id", "zone_id", "pagerank"),
+            "communities": ("zone_id", "community_id", None), "stats": ("community_id", "num_zones", "total_pagerank")}
+    stacked = None
+    for name, df in tables.items():
+        a, b, value = keys[next(k for k in ("stats", "communities", "pagerank", "edges") if k in name)]
+        rows = df.select(F.lit(name).alias("saved"), F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b"),
+                         F.round(F.col(value) if value else F.lit(0.0), 4).alias("value"))
+        stacked = rows if stacked is None else stacked.unionAll(rows)
+    return stacked
 
 
 def _trips_table(spark, d):
+    """The month-partitioned trip table, written once for all keys that read it."""
     from odgraph.session import scratch_path
     from odgraph.sources.trips import write_trips_table
 
-    return write_trips_table(trips(spark, d), scratch_path(spark, "trips_table"))
+    pp = pipe(spark, d)
+    if not hasattr(pp, "trips_table"):
+        pp.trips_table = write_trips_table(trips(spark, d), scratch_path(spark, "trips_table"))
+    return pp.trips_table
 
 
 def q_clean_trips_table(spark, d):
@@ -575,24 +615,16 @@ def q_scan_months_partitioned(spark, d):
     return read_trips_table(spark, _trips_table(spark, d), MONTHS).select(*TRIP_COLS)
 
 
-def q_clean_audit_observed(spark, d):
-    """F6 collected during the edge-list pass (no scan of its own)."""
-    return _r6(pipe(spark, d).audit, "removed_pct")
-
-
 def q_metrics_json_latest(spark, d):
-    """S11 + S19: two benchmark runs saved as JSON files; the latest read back."""
-    import time
-
+    """S11 + S19: two runs saved as time-stamped JSON files; the latest read back."""
     from odgraph.session import scratch_path
 
-    t = trips(spark, d)
     folder = scratch_path(spark, "benchmarks")
-    io.save_metrics_json(scaling.benchmark_build(spark, t, 0.05, "run_a", seed=1), f"{folder}/run=a")
-    time.sleep(1.1)  # distinct file modification times
-    io.save_metrics_json(scaling.benchmark_build(spark, t, 0.05, "run_b", seed=2), f"{folder}/run=b")
+    runs = q_sweep_build(spark, d)
+    io.save_metrics_json(runs.where("sample_fraction < 1"), folder, "19950101_000000")
+    io.save_metrics_json(runs.where("sample_fraction = 1"), folder, "19950201_000000")
     back = io.read_metrics_json(spark, folder, scaling.BUILD_METRICS)
-    return io.latest_metrics(back).select("run_name", "step", "sample_fraction", "raw_rows", "edges")
+    return io.latest_metrics(back).select("run_name", "step", "sample_fraction", "raw_rows", "cleaned_rows", "edges")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -10,8 +10,13 @@ from odgraph.params import DEFAULTS, DROPOFF, FARE, PICKUP, Params
 
 
 def clean_trips(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """keep trips that can be graph edges (one ``filter``, pushed down)."""
-    return trips.filter(valid_trip(p))
+    """keep trips that can be graph edges (one ``filter``, pushed down).
+
+    64-bit ids become ``int`` after the filter, when they are valid zones.
+    """
+    kept = trips.filter(valid_trip(p))
+    wide = [c for c in (PICKUP, DROPOFF) if kept.schema[c].dataType.simpleString() == "bigint"]
+    return kept.withColumns({c: F.col(c).cast("int") for c in wide}) if wide else kept
 
 
 def _audit_aggs(p: Params):
@@ -54,25 +59,3 @@ def cleaning_audit(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     one row, and the percentage is null for an empty table.
     """
     return _audit_row(trips.agg(*_audit_aggs(p)))
-
-
-def observe_audit(trips: DataFrame, name: str, p: Params = DEFAULTS):
-    """F6 without a scan of its own: ``(observed_trips, observation)``.
-
-    The audit counts are collected while whatever action consumes
-    ``observed_trips`` (e.g. the edge-list build) runs; read them with
-    :func:`audit_from_observation` afterwards.
-    """
-    from pyspark.sql import Observation
-
-    obs = Observation(name)
-    return trips.observe(obs, *_audit_aggs(p)), obs
-
-
-def audit_from_observation(spark, obs) -> DataFrame:
-    """The one-row audit frame from a completed observation."""
-    m = obs.get
-    cols = ["original_rows", "kept_rows", "null_pickup", "null_dropoff", "pickup_out_of_range",
-            "dropoff_out_of_range", "self_loops", "negative_fare", "null_fare"]
-    row = spark.createDataFrame([tuple(int(m[c]) for c in cols)], ", ".join(f"{c} bigint" for c in cols))
-    return _audit_row(row)

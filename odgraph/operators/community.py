@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from odgraph.functions.exprs import pct
 from odgraph.graph import Graph
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, graph_loop, materialize, release, reliable_checkpoint, run_rounds
+from odgraph.plans.iterate import (
+    VertexJoin, graph_loop, materialize, release, reliable_checkpoint, run_rounds, write_table,
+)
 
 
 def vote_table(edges: DataFrame) -> DataFrame:
@@ -63,7 +65,8 @@ def label_propagation(graph: Graph, p: Params = DEFAULTS, iterations: int | None
         state0 = on_edge.select("id", F.col("id").cast("bigint").alias("label"))
         final = run_rounds(state0, step, iters, p)
         vj.release()
-        release(votes)
+        isolated = reliable_checkpoint(isolated)
+        release(votes, on_edge)
     out = final.unionByName(isolated.select("id", F.col("id").cast("bigint").alias("label")))
     return out.select(F.col("id").alias("zone_id"), F.col("label").alias("community_id"))
 
@@ -153,13 +156,20 @@ def edges_with_communities(edge_list: DataFrame, communities: DataFrame, p: Para
     """
     n = communities.count()
     e = edge_list.select("src", "dst", "trip_count")
-    by_src = VertexJoin(e, "src", "dst", n, p, reuse=False).attach(
+    src_join = VertexJoin(e, "src", "dst", n, p, reuse=False)
+    by_src = src_join.attach(
         communities.select(F.col("zone_id").alias("id"), F.col("community_id").alias("src_community"))
     )
-    by_dst = VertexJoin(by_src, "dst", "src", n, p, reuse=False).attach(
+    dst_join = VertexJoin(by_src, "dst", "src", n, p, reuse=False)
+    by_dst = dst_join.attach(
         communities.select(F.col("zone_id").alias("id"), F.col("community_id").alias("dst_community"))
-    )
-    return by_dst.select("src", "dst", "trip_count", "src_community", "dst_community")
+    ).select("src", "dst", "trip_count", "src_community", "dst_community")
+    if src_join.holds_cache or dst_join.holds_cache:
+        # the joined table is written once, then both cached edge tables go
+        by_dst = write_table(by_dst, "edge_communities")
+        src_join.release()
+        dst_join.release()
+    return by_dst
 
 
 def connectivity(edge_list: DataFrame, communities: DataFrame, p: Params = DEFAULTS) -> DataFrame:

@@ -22,6 +22,9 @@ community at the first level, carried upwards).
 
 from __future__ import annotations
 
+import itertools
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -39,22 +42,33 @@ def symmetric_adjacency(edge_list: DataFrame, weight: str = "trip_count") -> Dat
     return both.groupBy("a", "b").agg(F.sum("w").alias("w"))
 
 
-def _modularity(adj: DataFrame, state: DataFrame, two_m: float) -> float:
+@contextmanager
+def _both_ends(adj: DataFrame, state: DataFrame, n: int, p: Params):
+    """``adj`` with the communities ``ca``, ``cb`` of both ends; a hub's rows are
+    broadcast-joined or salted (:class:`VertexJoin`), caches go on exit."""
+    first = VertexJoin(adj, "a", "b", n, p, reuse=False)
+    half = first.attach(state.select("id", F.col("comm").alias("ca")))
+    second = VertexJoin(half, "b", "a", n, p, reuse=False)
+    try:
+        yield second.attach(state.select("id", F.col("comm").alias("cb")))
+    finally:
+        first.release()
+        second.release()
+
+
+def _modularity(adj: DataFrame, state: DataFrame, two_m: float, n: int, p: Params) -> float:
     k = adj.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k"))
     tot = k.join(state, "id").groupBy("comm").agg(F.sum("k").alias("tot"))
-    inside = (
-        adj.join(state.select(F.col("id").alias("a"), F.col("comm").alias("ca")), "a")
-        .join(state.select(F.col("id").alias("b"), F.col("comm").alias("cb")), "b")
-        .filter(F.col("ca") == F.col("cb"))
-        .groupBy(F.col("ca").alias("comm")).agg(F.sum("w").alias("ins"))
-    )
+    with _both_ends(adj, state, n, p) as ends:
+        inside = reliable_checkpoint(
+            ends.filter(F.col("ca") == F.col("cb")).groupBy(F.col("ca").alias("comm")).agg(F.sum("w").alias("ins")))
     q = tot.join(inside, "comm", "left").agg(
         F.sum(F.coalesce(F.col("ins"), F.lit(0.0)) / two_m - F.pow(F.col("tot") / two_m, 2))
     ).first()[0]
     return float(q or 0.0)
 
 
-def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[DataFrame, int]:
+def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[DataFrame, int, bool]:
     nodes = reliable_checkpoint(adj.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k")))
     n = nodes.count()
     off = adj.filter(F.col("a") != F.col("b"))
@@ -109,12 +123,16 @@ def _level(adj: DataFrame, p: Params, two_m: float, max_rounds: int) -> tuple[Da
         if idle >= 2:
             break
     vj.release()
-    return state, moved_total
+    return state, moved_total, idle >= 2
 
 
 def louvain(edge_list: DataFrame, p: Params = DEFAULTS, weight: str = "trip_count",
-            max_levels: int = 5, max_rounds: int = 20) -> DataFrame:
-    """``zone_id, community_id`` (bigint) and the modularity of each accepted level.
+            max_levels: int | None = None, max_rounds: int = 20) -> DataFrame:
+    """``zone_id, community_id`` (bigint), the final ``modularity`` and ``converged``.
+
+    Levels go on until one gains no modularity.  Simultaneous moves may
+    cycle, so a level stops after ``max_rounds``; ``converged`` is true when
+    every level ended because nothing moved any more.
 
     Within the broadcast bound every per-round join is a broadcast and the
     rounds run without adaptive re-planning.  Beyond it the joins keyed by
@@ -127,33 +145,36 @@ def louvain(edge_list: DataFrame, p: Params = DEFAULTS, weight: str = "trip_coun
         return _louvain(edge_list, p, weight, max_levels, max_rounds)
 
 
-def _louvain(edge_list: DataFrame, p: Params, weight: str, max_levels: int, max_rounds: int) -> DataFrame:
+def _louvain(edge_list: DataFrame, p: Params, weight: str, max_levels: int | None, max_rounds: int) -> DataFrame:
     adj = reliable_checkpoint(symmetric_adjacency(edge_list, weight))
+    n = adj.select("a").distinct().count()
     two_m = float(adj.agg(F.sum("w")).first()[0] or 0.0)
     mapping = reliable_checkpoint(adj.select(F.col("a").alias("zone_id")).distinct()
                                   .withColumn("node", F.col("zone_id")))
     if two_m <= 0:
-        return mapping.select(F.col("zone_id").cast("int"), F.col("node").alias("community_id"))
+        return mapping.select(F.col("zone_id").cast("int"), F.col("node").alias("community_id"),
+                              F.lit(0.0).alias("modularity"), F.lit(True).alias("converged"))
     identity = adj.select(F.col("a").alias("id")).distinct().withColumn("comm", F.col("id"))
-    best_q = _modularity(adj, identity, two_m)
-    for _level_no in range(max_levels):
-        state, moved = _level(adj, p, two_m, max_rounds)
+    best_q = _modularity(adj, identity, two_m, n, p)
+    converged, ended = True, False
+    for _level_no in itertools.count() if max_levels is None else range(max_levels):
+        state, moved, settled = _level(adj, p, two_m, max_rounds)
+        converged &= settled
         if moved == 0:
+            ended = True
             break
-        q = _modularity(adj, state, two_m)
+        q = _modularity(adj, state, two_m, n, p)
         if q <= best_q + 1e-12:
+            ended = True
             break
         best_q = q
         mapping = reliable_checkpoint(
             mapping.join(state.select(F.col("id").alias("node"), "comm"), "node")
             .select("zone_id", F.col("comm").alias("node"))
         )
-        folded = (
-            adj.join(state.select(F.col("id").alias("a"), F.col("comm").alias("ca")), "a")
-            .join(state.select(F.col("id").alias("b"), F.col("comm").alias("cb")), "b")
-            .groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w"))
-        )
-        adj = reliable_checkpoint(folded)
+        with _both_ends(adj, state, n, p) as ends:
+            adj = reliable_checkpoint(
+                ends.groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w")))
     return mapping.select(
         F.col("zone_id").cast("int").alias("zone_id"), F.col("node").cast("bigint").alias("community_id")
-    ).withColumn("modularity", F.lit(best_q))
+    ).withColumn("modularity", F.lit(best_q)).withColumn("converged", F.lit(converged and ended))

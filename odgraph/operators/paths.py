@@ -1,15 +1,17 @@
 """Hop distance and shortest travel distance from one zone.
 
-Bounded-hop relaxation (Bellman-Ford) as DataFrame rounds: the state holds,
-for every vertex, the fewest hops and the shortest summed edge length found
-so far; each round joins the reached vertices with their out-edges
-(skew-safe :class:`~odgraph.plans.iterate.VertexJoin`) and keeps, per
-target, the minimum.  Rounds stop when nothing improves (one small aggregate
-per round) or after ``max_hops``.
+Relaxation (Bellman-Ford) as DataFrame rounds: the state holds, for every
+vertex, the fewest hops and the shortest summed edge length found so far;
+each round joins the reached vertices with their out-edges (skew-safe
+:class:`~odgraph.plans.iterate.VertexJoin`) and keeps, per target, the
+minimum.  Rounds stop when nothing improves, which non-negative lengths reach
+within as many rounds as the longest shortest path has edges.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -26,11 +28,13 @@ def busiest_origin(edge_list: DataFrame) -> DataFrame:
 
 
 def hop_distance(edge_list: DataFrame, source: int | None = None, length: str = "avg_distance",
-                 max_hops: int = 10, p: Params = DEFAULTS) -> DataFrame:
+                 max_hops: int | None = None, p: Params = DEFAULTS) -> DataFrame:
     """``zone_id, hops, distance`` from ``source`` (default: busiest origin).
 
-    ``hops`` is the BFS level; ``distance`` the shortest Σ ``length`` over
-    paths of at most ``max_hops`` edges.  Unreachable zones have nulls.
+    ``hops`` is the BFS level and ``distance`` the shortest Σ ``length`` over
+    all paths, or, only where the caller gives ``max_hops``, over paths of at
+    most that many edges.  Unreachable zones have nulls.  A cycle of negative
+    length has no shortest path and raises ``ValueError``.
     """
     with graph_loop(edge_list, p):
         return _hop_distance(edge_list, source, length, max_hops, p)
@@ -49,7 +53,7 @@ def _hop_distance(edge_list, source, length, max_hops, p):
             F.when(F.col("id") == src_col, F.lit(0.0)).alias("dist"),
         )
     )
-    for i in range(max_hops):
+    for i in itertools.count() if max_hops is None else range(max_hops):
         reached = state.filter(F.col("dist").isNotNull())
         msgs = vj.attach(reached).select(
             F.col("dst").alias("id"),
@@ -72,5 +76,8 @@ def _hop_distance(edge_list, source, length, max_hops, p):
         )
         if obs.get["changed"] == 0:
             break
+        if max_hops is None and i > n:
+            vj.release()
+            raise ValueError(f"negative cycle: distances still improve after {n} rounds")
     vj.release()
     return state.select(F.col("id").alias("zone_id"), "hops", F.col("dist").alias("distance"))

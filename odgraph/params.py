@@ -59,11 +59,10 @@ class Params:
     # execution knobs (not part of any result)
     checkpoint_every: int = 5
     broadcast_vertex_limit: int = 1_000_000
-    salt_rows: int = 1_000_000
+    salt_rows: int = 250_000  # a vertex with more edges is split: the per-task edge target
     hot_list_limit: int = 1_000_000  # bound on broadcast hot-vertex rows (raises salt_rows if needed)
-    global_window_limit: int = 1_000_000
     adaptive_in_loops: bool = False
-    edges_per_partition: int = 250_000  # loop partitions = ceil(|E| / this), capped by the session's
+    edges_per_partition: int = 250_000  # loop partitions = ceil(|E| / this)
     round_join: str = "copartition"  # or "broadcast" (state broadcast each round, size-checked)
 
     def with_(self, **kw) -> "Params":

@@ -93,10 +93,9 @@ def fixed_plans(spark, p: Params = DEFAULTS, partitions: int | None = None):
 
 
 def loop_partitions(spark, n_edges: int, p: Params = DEFAULTS) -> int:
-    """Partitions for a graph loop: ≤ ``edges_per_partition`` edges per task,
-    at most the session's ``spark.sql.shuffle.partitions``."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(cap, math.ceil(n_edges / max(p.edges_per_partition, 1))))
+    """Partitions for a graph loop: about ``edges_per_partition`` edges per task
+    at every size, so partitions never grow with the graph."""
+    return max(1, math.ceil(n_edges / max(p.edges_per_partition, 1)))
 
 
 @contextmanager
@@ -236,6 +235,10 @@ class VertexJoin:
         cond = (self.edges[self.key] == F.col("_vid")) & (self.edges[SALT] == F.col("_vsalt"))
         return self.edges.join(s, cond).drop("_vid", "_vsalt", SALT)
 
+    @property
+    def holds_cache(self) -> bool:
+        return bool(self._owned)
+
     def release(self) -> None:
         release(*self._owned)
         self._owned.clear()

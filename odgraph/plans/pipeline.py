@@ -29,36 +29,21 @@ class Pipeline:
     def clean(self) -> DataFrame:
         return clean.clean_trips(self.trips, self.p)
 
-    @cached_property
-    def _edge_build(self):
-        # the one pass over the (huge) trip table; everything after reads its
-        # result.  The cleaning audit is observed during the same pass, which
-        # saves a second full scan.  The observation point sits before the
-        # filter, so here the cleaning rule is applied after the scan instead
-        # of being pushed into it: the audit must see every row anyway, and
-        # the rule keeps ~89 % of trips, so row-group skipping would save
-        # little.  Column pruning still limits the scan to the used columns.
-        observed, obs = clean.observe_audit(self.trips, f"audit_{id(self)}", self.p)
-        el = write_table(edges.build_edge_list(clean.clean_trips(observed, self.p)), "edge_list")
-        return el, obs
-
     @cached_property
     def edge_list(self) -> DataFrame:
-        return self._edge_build[0]
+        """The one pass over the trip table with the cleaning rule pushed into it."""
+        return write_table(edges.build_edge_list(self.clean), "edge_list")
 
     @cached_property
     def audit(self) -> DataFrame:
-        """F6 counts, observed while the edge list was built (no extra scan)."""
-        return clean.audit_from_observation(self.trips.sparkSession, self._edge_build[1])
+        """an aggregate of its own over the three columns the rule reads; counts
+        from task accumulators would not be exact when a task runs again."""
+        return clean.cleaning_audit(self.trips, self.p)
 
     @cached_property
     def graph(self) -> Graph:
         return Graph.from_edge_list(self.edge_list)
 
-    @cached_property
-    def n_vertices(self) -> int:
-        return self.graph.vertices.count()
-
     @cached_property
     def ranks(self) -> DataFrame:
         return reliable_checkpoint(rank.pagerank(self.graph, self.p))
@@ -97,6 +82,7 @@ class Pipeline:
         }
         io.write_csv(self.edge_list, io.csv_path_for(paths["edges"]), single_file=False)
         io.export_top(self.ranks, f"{out}/results_csv/top100_pagerank")
+        io.write_csv(self.communities, io.csv_path_for(paths["communities"]), single_file=False)
         io.write_csv(self.community_stats, io.csv_path_for(paths["community_stats"]), single_file=False)
         return paths
 

@@ -1,8 +1,7 @@
 """Global running position / running sum in descending score order.
 
-A window without ``partitionBy`` runs in one task.  That is fine for a
-bounded number of rows (zones), so below ``global_window_limit`` rows the
-plain window is used.  Beyond it the order is computed in parallel:
+A window without ``partitionBy`` runs in one task, so the order is computed
+in parallel at every size:
 
 1. ``repartitionByRange`` on (score desc, key) — partition ``i`` holds a
    contiguous slice of the global order;
@@ -18,23 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from odgraph.params import DEFAULTS, Params
 from odgraph.plans.iterate import reliable_checkpoint
 
 
-def ranked_prefix(df: DataFrame, score: str, key: str, n_rows: int | None = None,
-                  p: Params = DEFAULTS, places: int = 6, partitions: int | None = None) -> DataFrame:
+def ranked_prefix(df: DataFrame, score: str, key: str, places: int = 6,
+                  partitions: int | None = None) -> DataFrame:
     """Add ``pos`` (1-based) and ``cum`` (running Σ score) in (round(score) desc, key) order."""
     r = F.round(F.col(score), places)
-    if n_rows is None:
-        n_rows = df.count()
-    if n_rows <= p.global_window_limit:
-        w = Window.orderBy(r.desc(), F.col(key).asc())
-        return df.select(
-            "*",
-            F.row_number().over(w).alias("pos"),
-            F.sum(score).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
-        )
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = reliable_checkpoint(

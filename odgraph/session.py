@@ -42,10 +42,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/odgraph-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for driver-side file checks in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def path_exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every table this application wrote with :func:`scratch_path`; call it
+    when the results that read them are saved."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/odgraph-out")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,8 +60,11 @@ def export_top(ranks: DataFrame, path: str, k: int = 100) -> str:
     return write_csv(top, path)
 
 
-def save_metrics_json(metrics: DataFrame, path: str) -> str:
-    """Metric rows (a handful per run) as one JSON-lines file."""
+def save_metrics_json(metrics: DataFrame, folder: str, timestamp: str | None = None) -> str:
+    """Metric rows (a handful per run) as one JSON-lines file in
+    ``<folder>/benchmark_<yyyymmdd_HHMMSS>``."""
+    name = timestamp or datetime.now().strftime("%Y%m%d_%H%M%S")
+    path = f"{folder}/benchmark_{name}"
     metrics.coalesce(1).write.mode("overwrite").json(path)
     return path
 
@@ -75,15 +80,24 @@ def read_metrics_csv(spark: SparkSession, path: str, schema: T.StructType) -> Da
 
 
 def read_metrics_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Metric JSON read back with its schema, plus the source file name."""
-    return spark.read.schema(schema).json(path).withColumn("source_file", F.col("_metadata.file_name"))
+    """Metric JSON of a folder read back with its schema, plus each run's time stamp."""
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path).withColumn(
+        "saved_at", F.regexp_extract(F.col("_metadata.file_path"), r"benchmark_([0-9_]+)", 1))
 
 
 def latest_metrics(df: DataFrame) -> DataFrame:
-    """Rows of the most recently written metric file (by modification time)."""
-    with_time = df.withColumn("_mtime", F.col("_metadata.file_modification_time"))
-    newest = with_time.agg(F.max("_mtime")).scalar()
-    return with_time.filter(F.col("_mtime") == newest).drop("_mtime")
+    """Rows of the run with the latest time stamp."""
+    return df.filter(F.col("saved_at") == df.agg(F.max("saved_at")).scalar())
+
+
+def stream_source(spark: SparkSession, path: str) -> tuple[str, str | None]:
+    """Folder and file name pattern by which a stream reads a stored table, be it
+    a folder of part files or a single file."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(hadoop).isDirectory():
+        return path, None
+    return hadoop.getParent().toString(), hadoop.getName()
 
 
 ZONE_SCHEMA = T.StructType(

@@ -4,8 +4,9 @@ Two ways in:
 
 * :func:`read_trips` — a real trip Parquet directory (or glob, or list of
   monthly files).  Only the five columns the graph needs are read, with a
-  declared schema, so the scan prunes every other column and the cleaning
-  predicate reaches the Parquet reader as pushed filters.
+  declared schema (64-bit ids, double amounts), so the scan prunes every
+  other column, takes files of either id width, and the cleaning predicate
+  reaches the Parquet reader as pushed filters.
 * :func:`trips_from_lineitem` — the ``trips`` view over the driver's
   TPC-H-style ``lineitem`` table (the test data holds no taxi trips).
 """
@@ -16,6 +17,7 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from odgraph.params import DISTANCE, DROPOFF, FARE, PICKUP, PICKUP_TS, TIP, TRIP_COLUMNS
 
@@ -31,12 +33,17 @@ def _validate(df: DataFrame, columns: Iterable[str]) -> None:
 
 
 def conform_trips(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
-    """Project to the five trip columns (+ ``keep``) with ids cast to int."""
+    """Project to the five trip columns (+ ``keep``).
+
+    Id columns stay as they are read, so the cleaning rule is a filter on bare
+    columns that reaches the files; :func:`~odgraph.operators.clean.clean_trips`
+    narrows 64-bit ids after it, when only valid zones are left.
+    """
     _validate(df, TRIP_COLUMNS)
     extra = [c for c in keep if c in df.columns and c not in TRIP_COLUMNS]
     return df.select(
-        F.col(PICKUP).cast("int").alias(PICKUP),
-        F.col(DROPOFF).cast("int").alias(DROPOFF),
+        PICKUP,
+        DROPOFF,
         F.col(DISTANCE).cast("double").alias(DISTANCE),
         F.col(FARE).cast("double").alias(FARE),
         F.col(TIP).cast("double").alias(TIP),
@@ -54,16 +61,23 @@ def read_trips(
 ) -> DataFrame:
     """Scan one directory, a glob, or several monthly files.
 
-    ``merge_schema`` reconciles monthly files whose column sets drift (the
-    pandas ``concat`` of the reference becomes one Parquet scan).
+    The read schema is declared: ids are 64-bit and amounts double, which the
+    Parquet reader widens from 32-bit files, so files of either width can be
+    mixed and a column that only later files have does not matter.  Columns in
+    ``keep`` take their type from the first file, or with ``merge_schema``
+    from all files.
     """
     reader = spark.read
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     path_list = [paths] if isinstance(paths, str) else list(paths)
-    return conform_trips(reader.parquet(*path_list), keep=keep)
+    kept = [c for c in keep if c not in TRIP_COLUMNS]
+    found = reader.option("mergeSchema", str(merge_schema and bool(kept)).lower()).parquet(*path_list)
+    _validate(found, TRIP_COLUMNS)
+    fields = [T.StructField(c, T.LongType()) for c in (PICKUP, DROPOFF)]
+    fields += [T.StructField(c, T.DoubleType()) for c in (DISTANCE, FARE, TIP)]
+    fields += [found.schema[c] for c in kept if c in found.columns]
+    return conform_trips(reader.schema(T.StructType(fields)).parquet(*path_list), keep=keep)
 
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -141,11 +155,12 @@ def months_filter(df: DataFrame, months: Iterable[str], ts: str = PICKUP_TS) ->
 def write_trips_table(trips: DataFrame, path: str, ts: str = PICKUP_TS) -> str:
     """Store trips as Parquet partitioned by pickup ``year``/``month``.
 
-    Every task writes the months it holds (no shuffle: funnelling a month
-    into one task would put a twelfth of the data in one task).  Month scans
-    over this layout prune whole folders.
+    A rebalance by month gathers a month's rows in few tasks before the write
+    (adaptive execution splits a large month and joins small ones), so the
+    number of files follows the data and not tasks times months.
     """
-    (trips.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
+    dated = trips.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
+    (dated.hint("rebalance", "year", "month")
      .write.mode("overwrite").partitionBy("year", "month").parquet(path))
     return path
 

@@ -32,7 +32,7 @@ def spark():
 
 @pytest.fixture
 def tiny_params():
-    """Force the large-graph code paths (salted joins, parallel prefix sums)."""
+    """Force the large-graph code paths (salted joins)."""
     from odgraph.params import DEFAULTS
 
-    return DEFAULTS.with_(broadcast_vertex_limit=0, salt_rows=1, global_window_limit=0)
+    return DEFAULTS.with_(broadcast_vertex_limit=0, salt_rows=1)

@@ -80,7 +80,7 @@ def test_cleaning_filter_is_pushed_to_parquet(spark, tmp_path):
     for f in ("IsNotNull(PULocationID)", "GreaterThanOrEqual(PULocationID,1)", "LessThanOrEqual(DOLocationID,263)",
               "GreaterThanOrEqual(fare_amount,0.0)"):
         assert f in pushed
-    assert "ReadSchema: struct<PULocationID:int,DOLocationID:int,trip_distance:double" in plan
+    assert "ReadSchema: struct<PULocationID:bigint,DOLocationID:bigint,trip_distance:double" in plan
 
 
 def test_monthly_files_with_drifting_columns(spark, tmp_path):
@@ -96,3 +96,41 @@ def test_monthly_files_with_drifting_columns(spark, tmp_path):
     assert t.count() == 8 + 15
     g = read_trips(spark, str(tmp_path / "m0*.parquet"), merge_schema=True)  # path glob (S3)
     assert g.count() == 23
+
+
+def test_id_widths_mix_and_bad_ids_are_cleaned(spark, tmp_path):
+    """Files with 32- and 64-bit ids and float amounts read together; an id beyond
+    32 bits is cleaned, and the rule reaches the files of either width."""
+    from odgraph.sources.trips import read_trips
+
+    base = fixtures.dirty_trips(spark)
+    narrow, wide = str(tmp_path / "m01.parquet"), str(tmp_path / "m02.parquet")
+    base.withColumn("fare_amount", F.col("fare_amount").cast("float")).write.parquet(narrow)
+    big = base.withColumns({c: F.col(c).cast("bigint") for c in ("PULocationID", "DOLocationID")})
+    big.unionAll(spark.createDataFrame([(3_000_000_000, 5, 1.0, 1.0, 1.0), (5, 1 << 40, 1.0, 1.0, 1.0)], big.schema)
+                 ).write.parquet(wide)
+    once = sorted(map(str, clean.clean_trips(base).collect()))
+    for paths in ([narrow, wide], [wide, narrow], str(tmp_path / "m0*.parquet")):
+        t = read_trips(spark, paths)
+        assert t.count() == 2 * base.count() + 2
+        kept = clean.clean_trips(t)
+        assert dict(kept.dtypes)["PULocationID"] == dict(kept.dtypes)["DOLocationID"] == "int"
+        assert sorted(map(str, kept.collect())) == sorted(2 * once)
+        audit = clean.cleaning_audit(t).first()
+        assert audit.original_rows == t.count() and audit.kept_rows == 2 * len(once)
+    plan = spark._jvm.PythonSQLUtils.explainString(
+        clean.clean_trips(read_trips(spark, wide))._jdf.queryExecution(), "formatted")
+    pushed = [ln for ln in plan.splitlines() if "PushedFilters" in ln][0]
+    assert "GreaterThanOrEqual(PULocationID,1)" in pushed and "LessThanOrEqual(DOLocationID,263)" in pushed
+
+
+def test_edge_list_of_the_pipeline_is_pushed(spark, tmp_path):
+    from odgraph.plans.pipeline import Pipeline
+    from odgraph.sources.trips import read_trips
+
+    path = str(tmp_path / "trips")
+    fixtures.dirty_trips(spark).write.parquet(path)
+    pp = Pipeline(read_trips(spark, path))
+    plan = spark._jvm.PythonSQLUtils.explainString(edges.build_edge_list(pp.clean)._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(PULocationID,1)" in [ln for ln in plan.splitlines() if "PushedFilters" in ln][0]
+    assert pp.audit.first().kept_rows == pp.edge_list.agg(F.sum("trip_count")).first()[0]

@@ -1,9 +1,12 @@
 import datetime as dt
 from collections import deque
 
+import pytest
 from pyspark.sql import functions as F
 
-from odgraph.operators import community, louvain, paths, temporal
+from odgraph.operators import clean, community, louvain, paths, temporal
+from odgraph.params import DEFAULTS
+from odgraph.plans.iterate import reliable_checkpoint
 from odgraph.sources import fixtures, io
 from odgraph.streaming import edges as sedges
 
@@ -22,7 +25,7 @@ def test_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
     kw = dict(schema=spark.createDataFrame([], SCHEMA).schema, duration="7 days", watermark="14 days",
               max_files_per_trigger=1)
     sedges.run_stream_edges(spark, str(src / "a"), out, ck, **kw)
-    got = sedges.read_stream_result(spark, out).select("window_start", "src", "dst", "trip_count")
+    got = sedges.read_stream_result(spark, out, live=True).select("window_start", "src", "dst", "trip_count")
     batch = temporal.edges_by_window(spark.createDataFrame(first, SCHEMA), "7 days").select(
         "window_start", "src", "dst", "trip_count"
     )
@@ -32,7 +35,7 @@ def test_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
     late = [_trip(1, 2, 58), _trip(3, 4, -30)]
     spark.createDataFrame(late, SCHEMA).coalesce(1).write.parquet(str(src / "a" / "b"))
     sedges.run_stream_edges(spark, str(src / "a"), out, ck, **kw)
-    res = sedges.read_stream_result(spark, out)
+    res = sedges.read_stream_result(spark, out, live=True)
     assert res.filter((F.col("src") == 3) & (F.col("dst") == 4)).count() == 0
     last = res.filter((F.col("src") == 1) & (F.col("dst") == 2)).orderBy(F.desc("window_start")).first()
     assert last.trip_count == 2  # day 57 and the on-time day-58 trip share a window
@@ -83,9 +86,11 @@ def test_io_helpers(spark, tmp_path):
     from odgraph.operators.scaling import BUILD_METRICS
 
     m = spark.createDataFrame([("r1", "build_graph", 0.1, 1, 1, 1, 1.0, 0.1, "t")], BUILD_METRICS)
-    io.save_metrics_json(m, str(tmp_path / "m1"))
+    io.save_metrics_json(m, str(tmp_path / "m1"), "20240101_000000")
+    io.save_metrics_json(m.unionAll(m).selectExpr("'r2' AS run_name", "* EXCEPT (run_name)"), str(tmp_path / "m1"))
     back = io.read_metrics_json(spark, str(tmp_path / "m1"), BUILD_METRICS)
-    assert back.count() == 1 and io.latest_metrics(back).count() == 1
+    assert back.count() == 3
+    assert [r.run_name for r in io.latest_metrics(back).collect()] == ["r2", "r2"]
 
 
 def test_months_filter(spark):
@@ -130,3 +135,68 @@ def test_louvain_large_graph_path_matches(spark, tiny_params):
     mid = tiny_params.with_(broadcast_vertex_limit=100)
     c = sorted(map(tuple, louvain.louvain(el, mid).select("zone_id", "community_id").collect()))
     assert a == c
+
+
+def test_backlog_stream_equals_batch_for_unordered_files(spark, tmp_path):
+    """Six files without any time order, one file a micro-batch: no trip is lost."""
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    trips = [_trip(1 + i % 5, 2 + i % 3, (i * 37) % 200, float(i)) for i in range(120)]
+    df = spark.createDataFrame(trips, SCHEMA)
+    for k in range(6):
+        spark.createDataFrame(trips[k::6], SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    sedges.run_stream_edges(spark, src, out, str(tmp_path / "ck"), schema=df.schema, max_files_per_trigger=1)
+    want = sorted(map(tuple, temporal.edges_by_window(clean.clean_trips(df), "7 days").collect()))
+
+    def got(path):
+        rows = sedges.read_stream_result(spark, path)
+        return sorted(map(tuple, rows.select("window_start", "src", "dst", "trip_count", "total_fare").collect()))
+
+    assert len(list((tmp_path / "out").glob("batch_id=*"))) == 6
+    assert got(out) == want
+    assert got(sedges.compact_stream_result(spark, out, str(tmp_path / "small"))) == want
+
+
+def test_hop_distance_on_a_long_chain(spark):
+    """Sixteen zones in a row: every hop and distance, none cut off."""
+    chain = [(i, i + 1, 1, 0.5 * i) for i in range(1, 16)] + [(20, 21, 1, 1.0)]
+    el = spark.createDataFrame(chain, "src int, dst int, trip_count bigint, avg_distance double")
+    got = {r.zone_id: (r.hops, r.distance) for r in paths.hop_distance(el, source=1).collect()}
+    want = {z: (z - 1, sum(0.5 * i for i in range(1, z))) for z in range(1, 17)}
+    assert got == want | {20: (None, None), 21: (None, None)}
+    short = {r.zone_id: r.hops for r in paths.hop_distance(el, source=1, max_hops=3).collect()}
+    assert short[4] == 3 and short[5] is None
+    loop = spark.createDataFrame([(1, 2, 1, 1.0), (2, 1, 1, -2.0)], el.schema)
+    with pytest.raises(ValueError):
+        paths.hop_distance(loop, source=1)
+
+
+def test_operators_release_what_they_cache(spark, tiny_params):
+    from odgraph.graph import Graph
+    from odgraph.operators import rank
+
+    el = reliable_checkpoint(fixtures.toy_edge_list(spark).withColumn("avg_distance", F.lit(1.0)))
+    g = Graph.from_edge_list(el)
+    count = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    for p in (DEFAULTS, tiny_params):
+        start = count()
+        rank.pagerank(g, p, iterations=3)
+        comm = community.label_propagation(g, p, iterations=3)
+        community.connectivity(el, comm, p).collect()
+        rank.hits(g, p, iterations=2)
+        paths.hop_distance(el, source=4, p=p)
+        louvain.louvain(el, p)
+        assert count() == start, p
+
+
+def test_loops_with_many_partitions_give_the_same_results(spark):
+    from odgraph.graph import Graph
+    from odgraph.operators import rank
+
+    el = fixtures.toy_edge_list(spark).withColumn("avg_distance", F.lit(1.0))
+    g = Graph.from_edge_list(el)
+    many = DEFAULTS.with_(edges_per_partition=2)
+    rows = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
+    assert rows(rank.pagerank(g, iterations=5)) == rows(rank.pagerank(g, many, iterations=5))
+    assert rows(rank.hits(g, iterations=3)) == rows(rank.hits(g, many, iterations=3))
+    assert rows(community.label_propagation(g)) == rows(community.label_propagation(g, many))
+    assert rows(paths.hop_distance(el, source=4)) == rows(paths.hop_distance(el, source=4, p=many))

@@ -24,13 +24,16 @@ def test_histogram_constant_column(spark):
     assert [x["count"] for x in h] == [2, 0, 0, 0, 0]
 
 
-def test_parallel_prefix_equals_window(spark, tiny_params):
+def test_parallel_prefix_equals_running_sum(spark):
     r = _ranks(spark)
-    a = report.cumulative_share(r).orderBy("pos").collect()
-    b = report.cumulative_share(r, tiny_params).orderBy("pos").collect()
-    assert [x.zone_id for x in a] == [x.zone_id for x in b]
-    assert max(abs(x.cum_pct - y.cum_pct) for x, y in zip(a, b)) < 1e-9
-    assert abs(a[-1].cum_pct - 100.0) < 1e-9
+    got = report.cumulative_share(r).orderBy("pos").collect()
+    rows = sorted(((-round(x.pagerank, 6), x.zone_id, x.pagerank) for x in r.collect()))
+    total, cum = sum(x[2] for x in rows), 0.0
+    assert [x.zone_id for x in got] == [x[1] for x in rows]
+    assert [x.pos for x in got] == list(range(1, len(rows) + 1))
+    for x, (_, _, value) in zip(got, rows):
+        cum += value
+        assert abs(x.cum_pct - cum / total * 100) < 1e-9
 
 
 def test_speedup_fixture(spark):
