@@ -37,7 +37,7 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
           "th": {"tr", "table"}}
 # What elements, classes, ids and roles say about their text.
-BOILERPLATE_TAGS = frozenset("nav aside footer form menu dialog search head fieldset".split())
+BOILERPLATE_TAGS = frozenset("nav aside header footer form menu dialog search head fieldset".split())
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense adslot adbox sponsor sponsored sponsors promo promotion promoted "
     "banner banners nav navbar navigation navi menu menus topbar toolbar breadcrumb breadcrumbs pagination pager "
@@ -46,6 +46,9 @@ BOILERPLATE_NAMES = frozenset(
     "newsletter subscribe subscription signup login signin register search form forms share sharing social follow "
     "related recommended recommendations trending popular outbrain taboola comment comments commentlist respond disqus "
     "replies reply discussion copyright legal disclaimer hidden skip".split())
+#: Names by which an article element is not the page's article.
+OTHER_ARTICLES = frozenset("comment comments reply replies respond related recommended promo ad ads advert sponsored "
+                           "teaser".split())
 CONTENT_NAMES = frozenset("article articlebody content post entry story main body text maincontent postcontent".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<!--|<[!?/]""")
@@ -67,7 +70,10 @@ class _Element:
         names = {x.lower() for k in ("class", "id", "role") for x in _NAME.findall(html.unescape(values.get(k, "")))}
         style = values.get("style", "").replace(" ", "").lower()
         self.hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in style
-        bad = tag not in ("html", "body") and bool(names & BOILERPLATE_NAMES)
+        if tag in ("article", "main"):
+            bad = bool(names & OTHER_ARTICLES)
+        else:
+            bad = tag not in ("html", "body") and bool(names & BOILERPLATE_NAMES)
         self.names_only = bad and tag not in BOILERPLATE_TAGS and not self.hidden
         self.negative = bad or tag in BOILERPLATE_TAGS or self.hidden
         self.positive = not self.negative and (tag in ("article", "main") or bool(names & CONTENT_NAMES))
@@ -214,8 +220,6 @@ def scores(blocks: list[_Block]) -> list[float]:
                 got = -8.0
             elif got <= -8.0:
                 pass
-            elif e.tag == "header":
-                got = got - 1.0 if got > 0 else -8.0
             elif e.positive:
                 got = max(got, 4.0 if e.tag in ("article", "main") else 2.0)
             known[id(e)] = got

@@ -26,7 +26,7 @@ def test_minimum_cut_equals_exhaustive_search():
 PAGE = """<!DOCTYPE html><html><head><title>Head</title><style>p > b {}</style></head><body class="has-sidebar">
 <header><h1>Site</h1><a href=/>Home</a></header><div id="cookie-notice">We use cookies here. <button>OK</button></div>
 <div class=wrapper><div class="sidebar"><h3>Related</h3><ul><li><a href=1>A link here</a></ul></div>
-<main><article><h1>Real title</h1><p>First <i>in</i>line &amp; &lt;tags&gt;&#33;
+<main><article class="post no-sidebar"><header>By someone, today</header><h1>Real title</h1><p>First <i>in</i>line &amp; &lt;tags&gt;&#33;
 and   spaces.<p>Short.<script>var t="</p>";</script><!-- <p>no</p> --><div class="advert">Buy this product now, it is good.</div>
 <blockquote>Said by someone.</blockquote><ul><li>one<li>two</ul><form><label>Mail</label><input></form>
 </article><section class="comments"><h2>Comments</h2><div>I, a reader, find this quite interesting and worth
@@ -45,6 +45,8 @@ def test_odd_pages():
     assert main("<nav><a>x</a></nav>") == ""
     assert main("<article><p>a < b and <!-- cut") == "a < b and"
     assert main("<article>" + "<div>" * 3000 + "<p>deep words</p>") == "deep words"
+    assert main("<article><p>The story itself, told at length.</p><article class='comment'><p>A reader's long comment on "
+                "this story, which has many words.</p></article></article>") == "The story itself, told at length."
     long = "<article>" + "<p>one line of text.</p>" * 5000 + "</article>"
     assert main(long) == " ".join(["one line of text."] * 5000)
 

@@ -50,7 +50,7 @@ def _brute(docs, min_docs, similarity):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("limit", [512, 4])
+@pytest.mark.parametrize("limit", [512, 12])
 def test_dedup_equals_direct_computation(spark, limit):
     rng = random.Random(6)
     words = "alpha beta gamma delta epsilon zeta".split()
@@ -81,3 +81,26 @@ def test_documents_of_boilerplate_alone_go(spark):
     assert got[0].text == rows[0][1] and got[0].n_chars == 9
     assert got[1].text == "own words of b" and got[1].n_chars == 14
     assert linededup.without_boilerplate(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("limit", [30])
+def test_crowds_of_variants(spark, limit):
+    """Two dense crowds in one leaf, a bridge between them, and lines of no crowd."""
+    rng = random.Random(12)
+    a = ["to", "all", "who"] + [f"a{chr(97 + i)}" for i in range(22)]
+    b = ["to", "all", "who"] + [f"b{chr(97 + i)}" for i in range(22)]
+    bridge = [a[:3 + 22 - k] + b[3 + 22 - k:] for k in range(0, 23, 5)] + [b]
+    far = [["to", "all", "who"] + [f"{chr(97 + k)}{chr(97 + i)}x" for i in range(22)] for k in range(40)]
+    lines = set()
+    for base in (a, b):
+        for _ in range(60):
+            x = list(base)
+            for i in rng.sample(range(3, 25), rng.choice([1, 2, 3, 7])):
+                x[i] = "v" + "".join(rng.choice("abcdef") for _ in range(4))
+            lines.add(" ".join(x))
+    for bridged in (True,):
+        pool = sorted(lines | {" ".join(x) for x in far} | ({" ".join(x) for x in bridge} if bridged else set()))
+        docs = [(i, "\n".join(rng.sample(pool, 3))) for i in range(150)]
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        got = linededup.dedup_lines(df, min_docs=20, limit=limit)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == _brute(docs, 20, linededup.SIMILARITY)
