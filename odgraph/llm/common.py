@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from odgraph.session import checkpoint_dir, scratch_path
+from odgraph.session import scratch_path
 
 #: Native regular expression of a white-space separated word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,7 +22,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
     Lineage ends at the written table, so a lost executor never repeats what
     came before it.  The folder is the one in ``spark.checkpoint.dir``;
-    :func:`drop_cuts` deletes an application's tables when results are saved.
+    :func:`odgraph.session.drop_scratch` deletes an application's tables when
+    results are saved.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -30,13 +31,6 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_cuts(spark: SparkSession) -> None:
-    """Delete every table that :func:`cut` wrote in this application."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/odgraph-out")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def utf8(column: pa.Array) -> list:
     """A string column as ``bytes`` objects (null: ``None``)."""
     return column.cast(pa.large_binary()).to_pylist()
