@@ -48,6 +48,7 @@ def main() -> None:
     from odgraph.graph import Graph
     from odgraph.operators import clean, community, edges, rank, report, scaling
     from odgraph.plans.iterate import reliable_checkpoint
+    from odgraph.session import drop_scratch
     from odgraph.sources.trips import trips
 
     def run(df):
@@ -99,6 +100,7 @@ def main() -> None:
         "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
     }))
+    drop_scratch(spark)
     spark.stop()
 
 

@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     from odgraph.operators import report
     from odgraph.params import DEFAULTS
     from odgraph.plans.pipeline import run
+    from odgraph.session import drop_scratch
     from odgraph.sources import io
     from odgraph.sources.trips import months_filter, read_trips
 
@@ -44,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     pipe = run(trips, out=a.out, p=p)
     paths = report.write_reports(pipe.ranks, pipe.community_stats, f"{a.out}/reports")
     io.write_csv(pipe.audit, f"{a.out}/reports/cleaning_audit")
+    drop_scratch(spark)
     print(json.dumps({"out": a.out, "reports": paths}))
 
 
