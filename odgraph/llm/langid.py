@@ -205,9 +205,12 @@ def _identified(rows: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(predict, schema)
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.02) -> DataFrame:
-    """``docs`` without the documents that have no language: no letters, or no
-    language that parses them in clearly fewer phrases than the next."""
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.02,
+                    min_chars: int = 200) -> DataFrame:
+    """``docs`` without the documents that have no language: no letters, or text of
+    ``min_chars`` characters and more that no language parses in clearly fewer
+    phrases than the next.  Shorter texts may tie by chance and stay."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     found = _identified(docs.select(*columns, F.col(text_col).cast("string").alias("_text")), model)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*columns)
+    clear = (F.col("score") >= min_score) | (F.char_length("_text") < min_chars)
+    return found.where((F.col("lang_pred") != UNKNOWN) & clear).select(*columns)
