@@ -14,8 +14,8 @@ fingerprints agree.  No pair within the radius is missed.
 Copies collapse to one row per fingerprint before the search.  Buckets stream
 through tasks in sorted order; a bucket beyond ``BUCKET`` fingerprints is
 masked again with other vectors on top of the bits it already shares (the
-same guarantee holds inside it), until it is small.  A bucket emits a
-spanning forest of its links, never all pairs.
+same guarantee holds inside it), until it is small.  A bucket emits its
+components as stars, never all pairs.
 """
 
 from __future__ import annotations
@@ -81,20 +81,21 @@ def masks(radius: int, seed: int = 0) -> list[int]:
 
 
 def _forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links among distinct fingerprints."""
+    """Components of distinct fingerprints, each as a star around its first."""
     n = len(values)
     unsigned = values.view(np.uint64)
     left = np.ones(n, dtype=bool)
     edges = []
     while left.any():
-        queue = [int(np.flatnonzero(left)[0])]
-        left[queue[0]] = False
+        first = int(np.flatnonzero(left)[0])
+        queue = [first]
+        left[first] = False
         while queue:
             i = queue.pop()
             near = np.flatnonzero(left & (np.bitwise_count(unsigned ^ unsigned[i]) <= radius))
             left[near] = False
             queue += near.tolist()
-            edges += [(int(values[i]), int(values[j])) for j in near]
+            edges += [(int(values[first]), int(values[j])) for j in near]
     return edges
 
 
@@ -157,7 +158,7 @@ def _links(groups: DataFrame, radius: int, limit: int, last: bool) -> DataFrame:
 
 def near_links(fps: DataFrame, radius: int = 3, limit: int = BUCKET) -> DataFrame:
     """``(src, dst)`` edges between distinct fingerprints (column ``fp``) whose
-    transitive closure is that of all pairs differing in ``radius`` bits or fewer."""
+    components are those of all pairs differing in ``radius`` bits or fewer."""
     found = None
     rest = fps.select("fp", F.lit("").alias("bucket"))
     for level in range(DEPTH):
