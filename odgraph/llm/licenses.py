@@ -54,6 +54,9 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# Words of the templates that are common in any English text.
+COMMON = frozenset("all and by form free into is of subject terms the this to under v work".split())
+
 #: Names of files that give their license to their directory.
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|unlicense|notice)([.-][^/]*)?$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,8 +81,8 @@ class Weights:
             norm = math.sqrt(sum(x * x for x in vector.values()))
             self.vectors[name] = {t: x / norm for t, x in vector.items()}
             rest = sum(x * x for x in self.vectors[name].values())
-            # long terms are rare in text, so they are set aside first
-            for t in sorted(bag, key=lambda t: (-len(t), t)):
+            # long terms are rare in text, so they are set aside first, common words last
+            for t in sorted(bag, key=lambda t: (t in COMMON, -len(t), t)):
                 if rest < (threshold - 1e-9) ** 2:
                     break
                 rest -= self.vectors[name][t] ** 2
