@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, licenses, linededup, ngram, simhash, urlfilter
-from odgraph.llm.common import table
+from odgraph.llm.common import cut, table
 
 URL_RULES = (
     ("block", "net", "/"),
@@ -77,9 +77,14 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
-    placed = curriculum.assign(table(spark, sf_dir, "documents"))
-    return placed.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    """Words that the training sequence reads of every document, summed over its passes."""
+    placed = cut(curriculum.assign(table(spark, sf_dir, "documents")), "mix-rows")
+    # written in training order: a sort that only feeds a sum would be dropped from the plan
+    order = cut(curriculum.sequence(placed), "mix-sequence")
+    read = order.groupBy("row").agg(F.sum("words").alias("taken"))
+    return placed.drop("taken").join(read, "row", "left").select(
+        F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"),
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,9 +80,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
            weights=WEIGHTS, share: float = SHARE, most: float = MOST, slopes=SLOPES) -> DataFrame:
-    """``(id, source, size, source_size, target, slope, start, taken)`` for every row.
+    """``(row, id, source, size, source_size, target, slope, start, taken)`` for every row.
 
-    ``start`` is where the document's tokens begin in its source's stream,
+    ``row`` is a number of the row's own; ``start`` is where the document's tokens begin in its source's stream,
     ``taken`` how many words the mix takes of it over all passes: every pass
     runs through the source in the order of md5(id), and the last ends in the
     middle of the document in which the target is reached.  Null texts have
@@ -92,7 +92,8 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     sized = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-        token_count(F.col(text_col).cast("string")).alias("size"), key.alias("key"))
+        token_count(F.col(text_col).cast("string")).alias("size"), key.alias("key"),
+        F.monotonically_increasing_id().alias("row"))
     sized = cut(sized, "curriculum")
     slice_ = F.substring("key", 1, SLICE_DIGITS).alias("slice")
     sums = sized.groupBy("source", slice_).agg(F.sum("size").alias("slice_size"))
@@ -104,7 +105,7 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
                .join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s"))
     offsets = offsets.select(F.col("source").alias("o_source"), F.col("slice").alias("o_slice"),
                              "offset", "source_size", "target", "slope")
-    inside = (Window.partitionBy("source", "slice").orderBy("key", "id", "size")
+    inside = (Window.partitionBy("source", "slice").orderBy("key", "id", "size", "row")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (sized.withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
               .withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -114,7 +115,7 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     passes = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(0).cast("long")
     rest = goal - passes * F.col("source_size")
     part = F.least(F.col("size"), F.greatest(rest - start, F.lit(0).cast("long")))
-    return placed.select("id", "source", "size", "source_size", "target", "slope", start.alias("start"),
+    return placed.select("row", "id", "source", "size", "source_size", "target", "slope", start.alias("start"),
                          (passes * F.col("size") + part).alias("taken"))
 
 
@@ -133,11 +134,15 @@ def positions(assigned: DataFrame) -> DataFrame:
     return each.withColumn("position", F.least(t, F.lit(1.0)))
 
 
+def sequence(assigned: DataFrame) -> DataFrame:
+    """:func:`positions` in training order, sorted by range on ``position``."""
+    return positions(assigned).orderBy("position", "source", "epoch", "id")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, share: float = SHARE, most: float = MOST, slopes=SLOPES) -> DataFrame:
     """The training sequence: a row for each pass over a document, sorted by
     range on ``position``, with ``epoch`` and the ``words`` to read of it."""
-    placed = positions(assign(docs, id_col, text_col, source_col, weights, share, most, slopes))
-    return (placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "target",
-                          "epoch", "words", "position")
-            .orderBy("position", source_col, "epoch", id_col))
+    placed = sequence(assign(docs, id_col, text_col, source_col, weights, share, most, slopes))
+    return placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "target",
+                         "epoch", "words", "position")
