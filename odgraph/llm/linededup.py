@@ -6,7 +6,9 @@ number of tokens, the next ``DEPTH`` levels are the leading tokens.  Inside a
 leaf, lines that agree in at least ``SIMILARITY`` of their positions belong to
 one template (transitively), whose differing positions are fields as well.  A
 template that recurs across documents is boilerplate: its lines are dropped
-from every document but the first.
+from every document but the first.  ``min_docs`` documents make a template
+recur; lines of ``long_words`` tokens and more may have a bound of their own,
+``long_docs``, as a long passage seldom recurs by chance.
 
 Distinct lines are counted with one aggregate.  Only leaves that hold several
 lines and enough documents are looked into again, as buckets of lines:
@@ -74,34 +76,39 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-_LINE = pa.struct([("leaf", pa.int64()), ("line", pa.string())])
+_LINE = pa.struct([("leaf", pa.int64()), ("line", pa.string()), ("need", pa.int32())])
 
 
-def _named_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _named_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, long_words: int | None,
+                 long_docs: int) -> DataFrame:
     """``(id, key, lines)`` of every row: ``key`` is the hash of the text, ``lines`` the
-    leaf and name of each of its lines (null for blank ones)."""
+    leaf and name of each of its lines (null for blank ones) and the documents its
+    template needs."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
 
     def read(batches):
         for batch in batches:
             for part in slices(batch, 2):
-                offsets, leaves, names = [0], [], []
+                offsets, leaves, names, needs = [0], [], [], []
                 for value in utf8(part.column(2)):
                     for raw in value.split(b"\n") if value is not None else ():
                         line = masked(raw)
                         leaf, name = _names(line) if line else (None, None)
                         leaves.append(leaf)
                         names.append(name)
+                        long = long_words is not None and line.count(b" ") + 1 >= long_words
+                        needs.append(long_docs if long else min_docs)
                     offsets.append(len(leaves))
-                lines = pa.StructArray.from_arrays([pa.array(leaves, pa.int64()), pa.array(names, pa.string())],
-                                                   fields=list(_LINE))
+                lines = pa.StructArray.from_arrays(
+                    [pa.array(leaves, pa.int64()), pa.array(names, pa.string()), pa.array(needs, pa.int32())],
+                    fields=list(_LINE))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), lines)],
                     ["id", "key", "lines"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(read, f"id {kind}, key long, lines array<struct<leaf: long, line: string>>")
+    return rows.mapInArrow(read, f"id {kind}, key long, lines array<struct<leaf: long, line: string, need: int>>")
 
 
 def _masked_lines(docs: DataFrame, text_col: str) -> DataFrame:
@@ -294,27 +301,30 @@ def _directed(rows: DataFrame) -> DataFrame:
     return rows.select("bucket", "line", "masked", side.alias("outside"))
 
 
-def _recurring(docs: DataFrame, named: DataFrame, text_col: str, min_docs: int, similarity: float,
-               limit: int) -> DataFrame:
+def _recurring(docs: DataFrame, named: DataFrame, text_col: str, similarity: float, limit: int) -> DataFrame:
     """``(line, template, first_id)`` of every line whose template recurs.
 
     A template recurs when its lines, each counted once a document, occur
-    ``min_docs`` times and in two documents at least; ``first_id`` is the
+    ``need`` times and in two documents at least; ``first_id`` is the
     smallest id among them.
     """
     each = named.select("id", F.explode(F.array_distinct("lines")).alias("x")).where("x.line is not null")
     lines = cut(each.groupBy("x.leaf", "x.line").agg(
-        F.count("*").alias("docs"), F.min("id").alias("first_id"), F.max("id").alias("last_id")), "lines")
-    leaves = cut(lines.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("n"))
-                 .where((F.col("n") > 1) & (F.col("docs") >= min_docs)).select("leaf"), "line-leaves")
+        F.count("*").alias("docs"), F.min("id").alias("first_id"), F.max("id").alias("last_id"),
+        F.any_value("x.need").alias("need")), "lines")
+    # lines of a leaf are of one length, so they need the same number
+    leaves = cut(lines.groupBy("leaf").agg(
+        F.sum("docs").alias("docs"), F.count("*").alias("n"), F.any_value("need").alias("need"))
+        .where("n > 1 and docs >= need").select("leaf"), "line-leaves")
     again = _masked_lines(docs, text_col).join(_listed(leaves), "leaf", "left_semi").groupBy("leaf", "line").agg(
         F.any_value("masked").alias("masked"))
     links = template_links(again.select(F.hex("leaf").alias("bucket"), "line", "masked"), similarity, limit)
     parts = connected_components(links).select(F.col("node").alias("line"), F.col("component").alias("template"))
     whole = lines.join(parts, "line", "left").withColumn("template", F.coalesce("template", "line"))
     counted = whole.groupBy("template").agg(
-        F.sum("docs").alias("docs"), F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
-    often = counted.where((F.col("docs") >= min_docs) & ~F.col("first_id").eqNullSafe(F.col("last_id")))
+        F.sum("docs").alias("docs"), F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"),
+        F.any_value("need").alias("need"))
+    often = counted.where((F.col("docs") >= F.col("need")) & ~F.col("first_id").eqNullSafe(F.col("last_id")))
     return whole.select("line", "template").join(often.select("template", "first_id"), "template").select(
         "line", "template", "first_id")
 
@@ -334,18 +344,21 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
-                similarity: float = SIMILARITY, limit: int = LEAF) -> DataFrame:
+                similarity: float = SIMILARITY, limit: int = LEAF, long_words: int | None = None,
+                long_docs: int = 2) -> DataFrame:
     """``docs`` with the lines of recurring templates dropped from every document
     but the template's first (smallest id), and with ``n_lines``, ``n_dropped``.
 
+    A template recurs from ``min_docs`` documents on, one of lines of at least
+    ``long_words`` tokens (None: no line is long) from ``long_docs`` on.
     A column of either name is replaced.  Texts without dropped lines are
     unchanged; of the others the remaining lines are joined by line feeds.
     Null texts stay null and have no lines, blank lines are never dropped,
     documents with a null id are never first, rows that repeat an id lose the
     same lines each, an empty table gives an empty result.
     """
-    named = cut(_named_lines(docs, id_col, text_col), "line-names")
-    drop = cut(_recurring(docs, named, text_col, min_docs, similarity, limit), "line-drop")
+    named = cut(_named_lines(docs, id_col, text_col, min_docs, long_words, long_docs), "line-names")
+    drop = cut(_recurring(docs, named, text_col, similarity, limit), "line-drop")
     text = F.col(text_col).cast("string")
     key = F.xxhash64(text)
     places = named.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.posexplode("lines"))
