@@ -9,6 +9,14 @@ of at least ``THRESHOLD``.  License files give their license to their
 directory; a file without one of its own takes that of its nearest ancestor
 directory that has one.
 
+Beside the statements there are license texts and headers of several lines
+(:mod:`odgraph.llm.licensetexts`), compared with whole texts, paragraphs, runs
+of comment lines and windows of up to ``WINDOW`` adjacent lines, and titles and
+SPDX tags, compared with lines and windows; a title or tag counts where all its
+words are there.  They have document frequencies of their own, so they change no
+score of a statement.  A text or header outranks a statement, title or tag, those
+a title without version, and that `All rights reserved`.
+
 Only DataFrame functions are used.  Before terms are counted a prefix filter
 drops units that cannot match: for each template some terms are set aside
 until the rest is shorter than the threshold, so a unit without any of the
@@ -25,9 +33,12 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odgraph.llm import licensetexts
 from odgraph.llm.common import cut
 
 THRESHOLD = 0.8
+#: Most adjacent lines of a window.
+WINDOW = 4
 
 # Statements by which files name a license, by SPDX identifier.
 TEMPLATES = (
@@ -70,8 +81,8 @@ def words_of(text: str) -> list[str]:
 class Weights:
     """Inverse document frequencies, unit template vectors and the filter terms."""
 
-    def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD):
-        bags = {name: Counter(words_of(text)) for name, text in templates}
+    def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD, stop=frozenset()):
+        bags = {name: Counter(t for t in words_of(text) if t not in stop) for name, text in templates}
         df = Counter(t for bag in bags.values() for t in bag)
         self.unknown = math.log(1 + len(bags)) + 1
         self.idf = {t: math.log((1 + len(bags)) / (1 + n)) + 1 for t, n in df.items()}
@@ -133,6 +144,142 @@ def own_licenses(files: DataFrame, key: str, text_col: str, templates=TEMPLATES,
     ).select("key", F.col("best.name").alias("own_license"), F.col("best.score").alias("own_score"), "opens", "is_license")
 
 
+#: Starts of comment lines.
+_COMMENT = r"^\s*(#|//|/?\*|;|--|%|<!--|\"\"\"|dnl |rem )"
+_BREAK = "\u0001"
+
+
+def _runs(raw: Column, kept: str) -> Column:
+    """Maximal runs of the adjacent lines that match ``kept``, each as one text."""
+    marked = F.transform(raw, lambda x: F.when(x.rlike(kept), x).otherwise(F.lit(_BREAK)))
+    return F.filter(F.split(F.array_join(marked, "\n"), _BREAK), lambda x: x.rlike("[a-z0-9]"))
+
+
+def _needed(vector: dict, threshold: float) -> tuple[list[str], int]:
+    """Terms that carry most of a template, and how many of them a match has at least."""
+    heavy, mass = [], 0.0
+    for t in sorted(vector, key=lambda t: (-vector[t], t)):
+        if mass >= 0.8:
+            break
+        heavy.append(t)
+        mass += vector[t] ** 2
+    missing, n = (threshold - 1e-9) ** 2 - (sum(x * x for x in vector.values()) - mass), 0
+    for t in heavy:
+        if missing <= 0:
+            break
+        missing -= vector[t] ** 2
+        n += 1
+    return heavy, n
+
+
+def _possible(words: Column, w: Weights, threshold: float, whole: bool) -> Column:
+    """Whether a text with these distinct words, or a part of it, can match a
+    template: the terms it has carry at most their share of the template."""
+    out = F.lit(False)
+    for _, v in sorted(w.vectors.items()):
+        heavy, n = (sorted(v), len(v)) if whole else _needed(v, threshold)
+        if whole or n > 3:
+            out = out | (F.size(F.array_intersect(words, F.array(*map(F.lit, heavy)))) >= n)
+        else:
+            left = sum(x * x for x in v.values()) - sum(v[t] ** 2 for t in heavy)
+            mass = sum((F.when(F.array_contains(words, t), v[t] ** 2).otherwise(0.0) for t in heavy), F.lit(0.0))
+            out = out | (mass >= (threshold - 1e-9) ** 2 - left - 1e-9)
+    return out
+
+
+def _terms_asked(w: Weights, threshold: float, whole: bool) -> set:
+    return {t for v in w.vectors.values() for t in (v if whole else _needed(v, threshold)[0])}
+
+
+def _matches(units: DataFrame, w: Weights, threshold: float, whole: bool, stop) -> DataFrame:
+    """``(key, unit, opens, is_whole, template, score)`` of the units that match a
+    template; ``whole``: only templates all of whose words the unit has."""
+    words = F.filter(F.split("line", "[^a-z0-9]+"), lambda t: t != "")
+    asked = F.array(*map(F.lit, sorted(_terms_asked(w, threshold, whole))))
+    units = units.withColumn("words", words).withColumn("hit", F.array_intersect("words", asked))
+    units = units.where(_possible(F.col("hit"), w, threshold, whole))
+    spark = units.sparkSession
+    terms = units.select("key", "unit", "opens", "is_whole", F.explode("words").alias("term"))
+    if stop:
+        terms = terms.where(~F.col("term").isin(sorted(stop)))
+    counts = terms.groupBy("key", "unit", "opens", "is_whole", "term").agg(F.count("*").alias("n"))
+    idf = F.broadcast(spark.createDataFrame(sorted(w.idf.items()), "term string, idf double"))
+    weighed = counts.join(idf, "term", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(w.unknown)))
+    norms = weighed.groupBy("key", "unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    pairs = [(name, t, x, len(v)) for name, v in sorted(w.vectors.items()) for t, x in sorted(v.items())]
+    pairs = F.broadcast(spark.createDataFrame(pairs, "template string, term string, weight double, size int"))
+    dots = weighed.join(pairs, "term").groupBy("key", "unit", "opens", "is_whole", "template").agg(
+        F.sum(F.col("x") * F.col("weight")).alias("dot"), F.count("*").alias("n"), F.any_value("size").alias("size"))
+    scored = dots.join(norms, ["key", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
+    scored = scored.where(F.col("score") >= threshold)
+    return scored.where("n = size") if whole else scored
+
+
+def text_licenses(files: DataFrame, key: str, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
+    """The columns of :func:`own_licenses` with ``rank`` for files that hold a
+    license text, a header of several lines, a title or an SPDX tag."""
+    stop = licensetexts.STOP
+    long = Weights(licensetexts.long_templates(), threshold, stop)
+    short = Weights(licensetexts.short_templates([n for n, _ in TEMPLATES]), threshold)
+    reserved = r"\ball rights reserved\b"
+    text = _plain(F.col(text_col).cast("string"))
+    likely = files.select(F.col(key).alias("key"), text.alias("text"))
+    asked = F.array(*map(F.lit, sorted(
+        _terms_asked(long, threshold, False) | _terms_asked(short, threshold, True))))
+    likely = likely.withColumn("hit", F.array_intersect(F.split("text", "[^a-z0-9]+"), asked))
+    # what no part of the whole text can match is not cut into units
+    likely = likely.where(_possible(F.col("hit"), long, threshold, False) | _possible(F.col("hit"), short, threshold, True)
+                          | F.col("text").rlike(reserved)).drop("hit")
+    likely = cut(likely, "license-texts")
+    raw = F.split("text", "\n")
+    likely = likely.withColumn("raw", raw).withColumn("lines", F.filter("raw", lambda x: x.rlike("[a-z0-9]")))
+
+    def unit(line, opens, whole=False):
+        return F.struct(opens.alias("opens"), F.lit(whole).alias("is_whole"), line.alias("line"))
+
+    def windows(n):
+        starts = F.when(F.size("lines") >= n, F.sequence(F.lit(1), F.size("lines") - (n - 1))).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: unit(F.array_join(F.slice("lines", i, n), "\n"), i == 1))
+
+    several = [windows(n) for n in range(2, WINDOW + 1)]
+    blocks = [F.transform(_runs(F.col("raw"), "[a-z0-9]"), lambda x, i: unit(x, i == 0)),
+              F.transform(_runs(F.col("raw"), _COMMENT),
+                          lambda x, i: unit(x, (i == 0) & F.element_at("lines", 1).rlike(_COMMENT)))]
+    whole = F.array(unit(F.col("text"), F.lit(False), True))
+
+    def units(*parts):
+        return likely.select("key", F.posexplode(F.concat(*parts)).alias("unit", "u")).select("key", "unit", "u.*")
+
+    found = _matches(units(whole, *blocks, *several), long, threshold, False, stop).withColumn("rank", F.lit(3))
+    named = _matches(units(whole, windows(1), *several), short, threshold, True, ()).withColumn(
+        "rank", F.when(F.col("template").endswith("/bare"), 1).otherwise(2))
+    notice = units(windows(1)).where(F.col("line").rlike(r"(^|[^a-z0-9])(copyright|\(c\)|©)") & F.col("line").rlike(reserved))
+    notice = notice.select("key", "unit", "opens", "is_whole", F.lit(licensetexts.RESERVED).alias("template"),
+                           F.lit(1.0).alias("score"), F.lit(0).alias("rank"))
+    columns = ["key", "template", "score", "opens", "is_whole", "rank"]
+    every = found.select(columns).unionAll(named.select(columns)).unionAll(notice.select(columns))
+    every = every.withColumn("name", F.substring_index("template", "/", 1))
+    return every.groupBy("key").agg(
+        F.min(F.struct((-F.col("rank")).alias("r"), (-F.col("score")).alias("s"), "name")).alias("best"), F.bool_or("opens").alias("opens"),
+        F.bool_or("is_whole").alias("is_license"),
+    ).select("key", F.col("best.name").alias("own_license"), (-F.col("best.s")).alias("own_score"), "opens",
+             "is_license", (-F.col("best.r")).alias("rank"))
+
+
+def stated_licenses(files: DataFrame, key: str, text_col: str, templates=TEMPLATES,
+                    threshold: float = THRESHOLD) -> DataFrame:
+    """:func:`own_licenses` and :func:`text_licenses` of every file, the better rank first."""
+    lines = own_licenses(files, key, text_col, templates, threshold).withColumn(
+        "rank", F.when(F.col("own_license") == licensetexts.RESERVED, 0).otherwise(2))
+    both = lines.unionByName(text_licenses(files, key, text_col, threshold))
+    return both.groupBy("key").agg(
+        F.min(F.struct((-F.col("rank")).alias("r"), (-F.col("own_score")).alias("s"), "own_license")).alias("best"),
+        F.bool_or("opens").alias("opens"), F.bool_or("is_license").alias("is_license"),
+    ).select("key", F.col("best.own_license").alias("own_license"), (-F.col("best.s")).alias("own_score"), "opens",
+             "is_license")
+
+
 def _ancestors(directory: str) -> Column:
     """The directory and all above it, '' last."""
     parts = F.split(F.col(directory), "/")
@@ -158,7 +305,7 @@ def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "tex
     path, text = F.col(path_col).cast("string"), F.col(text_col).cast("string")
     key = F.concat_ws(":", F.hex(F.xxhash64(path, text)), F.hex(F.xxhash64(F.lit(1), path, text)))
     keyed = files.select(path.alias("path"), text.alias("text"), key.alias("key"))
-    own = own_licenses(keyed, "key", "text", templates, threshold)
+    own = stated_licenses(keyed, "key", "text", templates, threshold)
     directory = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).when(
         F.col("path").isNotNull(), F.lit(""))
     stated = cut(keyed.select("path", "key", directory.alias("dir")).join(own, "key", "left"), "licenses")
