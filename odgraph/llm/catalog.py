@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, licenses, linededup, ngram, simhash, urlfilter
+from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, licenses, linededup, ngram, piecebpe, simhash, urlfilter
 from odgraph.llm.common import cut, table
 
 URL_RULES = (
@@ -100,6 +100,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and the text that they decode to."""
+    vocabulary = piecebpe.Vocabulary.read(tokenizer_path("piece_bpe_32k.model"))
+    encoded = piecebpe.encode(table(spark, sf_dir, "documents"), vocabulary)
+    return piecebpe.decode(encoded, vocabulary).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_embedding": op2_embedding,
@@ -111,4 +128,5 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_html_text": op9_html_text,
     "op10_decontaminate": op10_decontaminate,
+    "op11_sentencepiece": op11_sentencepiece,
 }
