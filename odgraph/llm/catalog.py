@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, licenses, linededup, ngram, piecebpe, simhash, urlfilter
-from odgraph.llm.common import cut, table
+from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, licenses, linededup, ngram, periodicruns, piecebpe, simhash, urlfilter
+from odgraph.llm.common import WORD, cut, table
 
 URL_RULES = (
     ("block", "net", "/"),
@@ -117,6 +117,40 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def repeated_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in the texts that the contract names, the words
+    from word a on repeat with period p."""
+    words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(w):
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        rest = F.flatten(F.array_repeat(F.slice(w, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(w, 1, a), F.slice(rest, 1, n - a)), " ")
+
+    # one lambda over a single element, so that the words are taken once
+    text = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)))[0]
+    return docs.select("doc_id", F.when(h % 10 == 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, and the text without the repeats."""
+    found = periodicruns.find_runs(repeated_texts(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                               r["period"].cast("string")), F.lit("\n")))
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_embedding": op2_embedding,
@@ -129,4 +163,5 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_decontaminate": op10_decontaminate,
     "op11_sentencepiece": op11_sentencepiece,
+    "op13_runs": op13_runs,
 }
