@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, licenses, linededup, ngram, periodicruns, piecebpe, simhash, urlfilter
+from odgraph.llm import curriculum, decontaminate, embeddings, htmltext, langid, licenses, linededup, ngram, periodicruns, piecebpe, simhash, urlfilter, whitening
 from odgraph.llm.common import WORD, cut, table
 
 URL_RULES = (
@@ -117,6 +117,12 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four leading components of the covariance, whitened."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 def repeated_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text``; in the texts that the contract names, the words
     from word a on repeat with period p."""
@@ -163,5 +169,6 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_decontaminate": op10_decontaminate,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_whitening": op12_whitening,
     "op13_runs": op13_runs,
 }

@@ -116,6 +116,7 @@ def test_driver_reads_are_the_bounded_ones():
         "embeddings.py": 1,     # the sample that rotations are learned on, SAMPLE vectors
         "langid.py": 1,         # training samples, TRAIN_DOCS * MAX_LANGUAGES texts
         "ngram.py": 2,          # one row of totals a shard, one row a block of words
+        "whitening.py": 2,      # sums by place (dims ** 2 at most), and by component
     }
     assert not [f for f in root.glob("*.py") if "localCheckpoint" in f.read_text()]
 

@@ -17,13 +17,16 @@ COLUMNS = {
     "op8_mixing": {"doc_id", "size", "source_size", "target", "taken"},
     "op9_html_text": {"page_id", "url", "text", "n_chars"},
     "op10_decontaminate": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
+    "op11_sentencepiece": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op12_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
+    "op13_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
 }
 
 
 def test_one_query_for_each_operator():
     import __spark_entry__ as entry
 
-    assert [n for n in range(1, 11) if sum(k.startswith(f"op{n}_") for k in QUERIES) != 1] == []
+    assert [n for n in range(1, 14) if sum(k.startswith(f"op{n}_") for k in QUERIES) != 1] == []
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
