@@ -459,6 +459,14 @@ def q_hop_distance(spark, d):
     return _r6(paths.hop_distance(pipe(spark, d).edge_list), "distance")
 
 
+def q_shortest_route(spark, d):
+    """Routes from the busiest origin to every zone, over lengths of six places."""
+    from odgraph.operators import paths
+
+    el = pipe(spark, d).edge_list.withColumn("length", F.round("avg_distance", 6))
+    return _r6(paths.shortest_route(el, length="length"), "distance")
+
+
 def _prof(df):
     return round_cols(df, {"total_fare": 2, "avg_fare": 6, "total_tip": 2, "avg_distance": 6})
 

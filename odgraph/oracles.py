@@ -356,6 +356,29 @@ hd(it, id, hops, dist, moved) AS (
 SQL["hop_distance"] = with_(*GRAPH, HOPS, recursive=True) + (
     "SELECT id AS zone_id, hops, ROUND(dist, 6) AS distance FROM hd WHERE it = (SELECT MAX(it) FROM hd)"
 )
+# routes: the least (distance, edges, previous zone) of every zone, then back to the source
+ROUTES = """so AS (SELECT src AS s FROM edges GROUP BY src ORDER BY SUM(trip_count) DESC, src LIMIT 1),
+le AS (SELECT src, dst, COALESCE(ROUND(avg_distance, 6), 0.0) AS len FROM edges),
+lb(it, id, dist, steps, prev, moved) AS (
+  SELECT 0, id, CASE WHEN id = (SELECT s FROM so) THEN 0.0::DOUBLE END, CASE WHEN id = (SELECT s FROM so) THEN 0 END,
+         NULL::INT, TRUE FROM v
+  UNION ALL
+  SELECT it, id, dist, steps, prev, bool_or(differs) OVER () FROM (
+    SELECT c.it + 1 AS it, c.id, c.dist, c.steps, c.prev, c.dist IS DISTINCT FROM h.dist OR c.steps IS DISTINCT FROM h.steps AS differs,
+           ROW_NUMBER() OVER (PARTITION BY c.id ORDER BY c.dist NULLS LAST, c.steps, c.prev NULLS FIRST) AS rn
+    FROM (SELECT it, id, dist, steps, prev FROM lb WHERE moved
+          UNION ALL
+          SELECT p.it, e.dst, p.dist + e.len, p.steps + 1, p.id FROM lb p JOIN le e ON p.id = e.src
+          WHERE p.moved AND p.dist IS NOT NULL) c
+    JOIN lb h ON h.id = c.id) WHERE rn = 1),
+best AS (SELECT id, dist, steps, prev FROM lb WHERE it = (SELECT MAX(it) FROM lb) AND dist IS NOT NULL),
+rt(zone_id, step, via) AS (
+  SELECT id, steps, id FROM best
+  UNION ALL
+  SELECT rt.zone_id, rt.step - 1, b.prev FROM rt JOIN best b ON b.id = rt.via WHERE rt.step > 0)"""
+SQL["shortest_route"] = with_(*GRAPH, ROUTES, recursive=True) + (
+    "SELECT rt.zone_id, rt.step, rt.via, ROUND(best.dist, 6) AS distance FROM rt JOIN best ON best.id = rt.via"
+)
 PROF = ("COUNT(*) AS trips, ROUND(SUM(fare_amount), 2) AS total_fare, ROUND(AVG(fare_amount), 6) AS avg_fare,"
         " ROUND(SUM(tip_amount), 2) AS total_tip, ROUND(AVG(trip_distance), 6) AS avg_distance")
 SQL["monthly_profile"] = with_(TRIPS, CLEAN) + (

@@ -63,6 +63,8 @@ class Params:
     hot_list_limit: int = 1_000_000  # bound on broadcast hot-vertex rows (raises salt_rows if needed)
     adaptive_in_loops: bool = False
     edges_per_partition: int = 250_000  # loop partitions = ceil(|E| / this)
+    edges_per_bucket: int = 65_536  # edge folders that a frontier reads are about this large ...
+    max_buckets: int = 4_096  # ... and at most so many
     round_join: str = "copartition"  # or "broadcast" (state broadcast each round, size-checked)
 
     def with_(self, **kw) -> "Params":
