@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from odgraph.graph import vertices_of
 from odgraph.params import DEFAULTS, Params
-from odgraph.plans.iterate import VertexJoin, graph_loop, reliable_checkpoint
+from odgraph.plans.iterate import graph_loop, meet, reliable_checkpoint
 from odgraph.session import scratch_path
 
 #: Called after a round with its number, its frontier's zones and the edges it read.
@@ -171,7 +171,8 @@ def shortest_route(edge_list: DataFrame, source: int | None = None, targets: Dat
         for k in range((most or 0).bit_length()):
             if k:
                 last = jumps[-1]
-                further = _meet(last.where("to is not null"), "to", "at", last, n, p).select("at", F.col("far").alias("to"))
+                further = meet(last.where("to is not null"), "to", "at", last.toDF("zone", "far"), n, p).select(
+                    "at", F.col("far").alias("to"))
                 back = further.unionByName(last.where("to is null"))
             jumps.append(reliable_checkpoint(back))
         places = paths.select("zone_id", F.col("steps").alias("step"), F.col("zone_id").alias("via"))
@@ -182,18 +183,8 @@ def shortest_route(edge_list: DataFrame, source: int | None = None, targets: Dat
             here = F.struct("step", "via")
             there = F.struct((F.col("step") - hop).alias("step"), F.col("far").alias("via"))
             both = F.when(F.col("step") >= hop, F.array(here, there)).otherwise(F.array(here))
-            places = _meet(places, "via", "zone_id", jumps[k], n, p).select(
+            places = meet(places, "via", "zone_id", jumps[k].toDF("zone", "far"), n, p).select(
                 "zone_id", F.explode(both).alias("place")).select("zone_id", "place.*")
-        so_far = paths.select("zone_id", "distance")
-        return reliable_checkpoint(_meet(places, "via", "zone_id", so_far, n, p).select(
-            "zone_id", "step", "via", F.col("far").alias("distance")))
-
-
-def _meet(rows: DataFrame, key: str, other: str, table: DataFrame, n: int, p: Params) -> DataFrame:
-    """``rows`` with the value ``far`` that ``table`` (one row a zone) has for ``key``."""
-    join = VertexJoin(rows, key, other, n, p, reuse=False)
-    out = join.attach(table.toDF("id", "far"))
-    if join.mode != "broadcast":
-        out = reliable_checkpoint(out)
-        join.release()
-    return out
+        so_far = paths.select(F.col("zone_id").alias("zone"), "distance")
+        return reliable_checkpoint(meet(places, "via", "zone_id", so_far, n, p).select("zone_id", "step", "via", "distance"))
+

