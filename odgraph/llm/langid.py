@@ -13,7 +13,8 @@ byte of every text is parsed; a block boundary ends a phrase.
 
 The automata are bounded by ``TRAIN_BYTES`` a language and ``MAX_LANGUAGES``.
 The sample of a language is its labelled documents in the order of
-xxhash64(id), up to ``TRAIN_DOCS`` documents of at most ``DOC_BYTES`` bytes.
+xxhash64(id), up to ``TRAIN_DOCS`` documents of at most ``DOC_BYTES`` bytes; of
+a longer one a window of ``DOC_BYTES / 4`` characters whose place is hashed.
 """
 
 from __future__ import annotations
@@ -43,6 +44,11 @@ def fold(text: str) -> bytes:
     return _GAP.sub(b" ", text.lower().encode("utf-8", "replace"))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter by its Unicode category (numeric signs are not)."""
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 class Parser:
     """The complete walk table of a suffix automaton.
 
@@ -80,10 +86,14 @@ class Parser:
         self.classes = np.zeros(256, dtype=np.uint8)  # 0: a byte the sample lacks
         self.classes[letters] = np.arange(1, len(letters) + 1)
         self.width = len(letters) + 1
-        table = np.zeros((len(edges), self.width), dtype=np.int32)
+        # a byte that the sample lacks is a phrase of its own: it leads to a last,
+        # dead state in which every byte begins a phrase
+        dead = len(edges)
+        table = np.zeros((dead + 1, self.width), dtype=np.int32)
         for c in letters:
             table[:, self.classes[c]] = 2 * edges[0][c] + 1
-        table[:, 0] = 1
+        table[:, 0] = 2 * dead + 1
+        table[0, 0] = 2 * dead
         for state, out in enumerate(edges):
             for c, to in out.items():
                 table[state, self.classes[c]] = 2 * to
@@ -127,7 +137,7 @@ class Model:
         """
         out = [(UNKNOWN, 0.0)] * len(texts)
         parsers = self.parsers()
-        rows = [i for i, t in enumerate(texts) if t and parsers and _LETTER.search(t)]
+        rows = [i for i, t in enumerate(texts) if t and parsers and has_letter(t)]
         if not rows:
             return out
         folded = [fold(texts[i]) for i in rows]
@@ -157,11 +167,14 @@ class Model:
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Model:
-    """Learn from ``labelled``: rows with null language, null or empty text and
-    with more than ``DOC_BYTES`` bytes are passed over.  The driver receives at
-    most ``MAX_LANGUAGES`` samples of ``TRAIN_DOCS * DOC_BYTES`` bytes."""
+    """Learn from ``labelled``: rows with null language and null or empty text are
+    passed over.  The driver receives at most ``MAX_LANGUAGES`` samples of
+    ``TRAIN_DOCS * DOC_BYTES`` bytes."""
     lang, text = F.col(lang_col).cast("string"), F.col(text_col).cast("string")
-    fits = lang.isNotNull() & F.octet_length(text).between(1, DOC_BYTES)
+    fits = lang.isNotNull() & (F.octet_length(text) > 0)
+    window = DOC_BYTES // 4
+    place = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(1)), F.greatest(F.char_length(text) - window + 1, F.lit(1))) + 1
+    text = F.when(F.octet_length(text) <= DOC_BYTES, text).otherwise(F.substr(text, place.cast("int"), F.lit(window)))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "text"))
     sample = (labelled.where(fits)
               .select(lang.alias("lang"), F.col(id_col).cast("string").alias("id"), text.alias("text"),
@@ -194,7 +207,7 @@ def _identified(rows: DataFrame, model: Model) -> DataFrame:
     def predict(batches):
         for batch in batches:
             for part in slices(batch, last, 4 << 20):
-                found = held.value.predict([None if x is None else x.decode() for x in utf8(part.column(last))])
+                found = held.value.predict([None if x is None else x.decode("utf-8", "replace") for x in utf8(part.column(last))])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([f[0] for f in found], pa.string()),
                      pa.array([f[1] for f in found], pa.float64())],
@@ -209,8 +222,13 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_s
                     min_chars: int = 200) -> DataFrame:
     """``docs`` without the documents that have no language: no letters, or text of
     ``min_chars`` characters and more that no language parses in clearly fewer
-    phrases than the next.  Shorter texts may tie by chance and stay."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = _identified(docs.select(*columns, F.col(text_col).cast("string").alias("_text")), model)
+    phrases than the next.  Shorter texts may tie by chance and stay.
+
+    Null and empty texts go; rows with null ids and repeated rows are judged one
+    by one; an empty table stays empty; other columns may have any names; bytes
+    that are not UTF-8 count as U+FFFD.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.col(text_col).cast("string").alias("_text"))
     clear = (F.col("score") >= min_score) | (F.char_length("_text") < min_chars)
-    return found.where((F.col("lang_pred") != UNKNOWN) & clear).select(*columns)
+    return _identified(rows, model).where((F.col("lang_pred") != UNKNOWN) & clear).select("_row.*")

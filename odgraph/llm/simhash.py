@@ -197,16 +197,24 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with
-    the smallest id.
+    """``docs`` with one row of each near-duplicate group: the one with the
+    smallest id, and of several texts of that id the one with the least hash.
 
-    Of rows that repeat an id and its text one stays (the first by all other
-    columns); rows with a null id stay only where their group has no id.
+    Of rows that repeat an id and its text the first by all other columns
+    counts; a row with a null id stays only where its group has no id; null and
+    empty texts are one group; an empty table stays empty.
     """
-    groups = simhash_groups(docs, id_col, text_col, shingle, radius)
-    kept = (groups.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-            .select(F.col(id_col).alias("_kept_id")).distinct())
-    ones = docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
-    order = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    copy = F.row_number().over(Window.partitionBy(id_col, text_col).orderBy(*order))
-    return ones.withColumn("_copy", copy).where("_copy = 1").drop("_copy")
+    key = F.xxhash64(F.col(text_col).cast("string"))
+    order = F.struct(*[F.col(f"`{f.name}`") for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")])
+    # one row of those that repeat an id and its text, folded in every task first
+    ones = docs.groupBy(F.col(id_col).alias("_id"), key.alias("_key")).agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("_row"))
+    ones = cut(ones, "simhash-ones")
+    texts = ones.select(F.struct("_id", "_key").alias("_name"), F.col(f"_row.`{text_col}`").alias("_text"))
+    groups = simhash_groups(texts, "_name", "_text", shingle, radius)
+    # the first row of each group: ids before a null id, then the smaller id, then the text's hash
+    rank = F.struct(F.col("_name._id").isNull(), "_name._id", "_name._key")
+    first = groups.groupBy("component_id").agg(F.min_by("_name", rank).alias("_first")).select("_first._id", "_first._key")
+    return ones.join(first.withColumnsRenamed({"_id": "_first_id", "_key": "_first_key"}),
+                     F.col("_id").eqNullSafe(F.col("_first_id")) & F.col("_key").eqNullSafe(F.col("_first_key")),
+                     "left_semi").select("_row.*")

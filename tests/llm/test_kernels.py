@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from odgraph.llm import components, curriculum, decontaminate, langid, simhash, urlfilter
 
@@ -97,6 +98,11 @@ def test_simhash_groups_with_nulls_copies_and_clashing_columns(spark):
     assert got == [(False, 2, 2), (False, 3, 3), (False, 5, 3), (False, 7, 7), (False, 7, 7), (False, 8, 2), (False, 9, nine)]
     kept = sorted(r.doc_id for r in simhash.simhash_dedup(df).collect())
     assert kept == [2, 3, 7] + ([] if near else [9])
+    a, b = "one two three four five six", "quite other words in this one here"
+    twice = [(3, a, "x"), (5, a, "y"), (5, b, "z"), (7, b, "w"), (7, b, "w"), (None, a, "n"), (None, "alone is this text", "n")]
+    again = spark.createDataFrame(twice, "doc_id long, text string, _id string")
+    assert sorted((r.doc_id or 0, r.text, r._id) for r in simhash.simhash_dedup(again).collect()) == [
+        (0, "alone is this text", "n"), (3, a, "x"), (5, b, "z")]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_groups(empty).count() == simhash.simhash_dedup(empty).count() == 0
 
@@ -183,6 +189,16 @@ def test_language_id_edge_cases(spark):
     assert langid.keep_identified(df, model).columns == df.columns
     none = langid.train(df.where("false"))
     assert {r.lang_pred for r in langid.identify(df, none).collect()} == {"und"}
+    signs = spark.createDataFrame([(1, "\u00bd \u00b2"), (2, "\u2167"), (3, "\u00bd a")], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.identify(signs, model).orderBy("doc_id").collect()] == ["und", "und", "en"]
+    clash = df.withColumn("lang_pred", F.lit("x")).withColumn("_text", F.lit("y"))
+    assert sorted(map(tuple, langid.keep_identified(clash, model).collect())) == [(1, "the cat", "en", 0.5, "x", "y")] * 2
+    bad = spark.sql("select 1L as doc_id, cast(x'74686520ff636174' as string) as text")
+    assert langid.identify(bad, model).first().lang_pred == "en"
+    # a language whose texts are all long is learned from windows of them
+    long = spark.createDataFrame([(7, "wort an wort " * 2000, "de"), (8, "the cat", "en")], "doc_id long, text string, lang string")
+    assert sorted(langid.train(long).samples) == ["de", "en"]
+    assert langid.train(long).predict(["wort an wort"])[0][0] == "de"
     assert langid.identify(df.where("false"), model).count() == 0
 
 
