@@ -49,6 +49,8 @@ DEPTH = 3
 SIMILARITY = 0.8
 #: Documents from which a template counts as recurring.
 MIN_DOCS = 5
+#: Lines of so many tokens recur from so many documents on.
+LONG_WORDS, LONG_DOCS = 51, 2
 LEAF = 512
 LEVELS = 12
 #: Rows of a list that is broadcast; a longer one is joined by a shuffle.
@@ -344,8 +346,8 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
-                similarity: float = SIMILARITY, limit: int = LEAF, long_words: int | None = None,
-                long_docs: int = 2) -> DataFrame:
+                similarity: float = SIMILARITY, limit: int = LEAF, long_words: int | None = LONG_WORDS,
+                long_docs: int = LONG_DOCS) -> DataFrame:
     """``docs`` with the lines of recurring templates dropped from every document
     but the template's first (smallest id), and with ``n_lines``, ``n_dropped``.
 

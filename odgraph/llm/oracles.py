@@ -120,7 +120,7 @@ reach(masked, b) AS (
 often AS (
   SELECT reach.masked, min(first_id) AS first_id
   FROM reach JOIN counted c ON c.masked = reach.b
-  GROUP BY reach.masked HAVING sum(docs) >= 5 AND min(first_id) <> max(last_id)),
+  GROUP BY reach.masked HAVING sum(docs) >= CASE WHEN any_value(len(tokens)) >= 51 THEN 2 ELSE 5 END AND min(first_id) <> max(last_id)),
 kept AS (
   SELECT r, coalesce(string_agg(line, chr(10) ORDER BY pos)
                      FILTER (WHERE first_id IS NULL OR doc_id = first_id), '') AS text,

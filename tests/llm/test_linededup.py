@@ -40,7 +40,8 @@ def _brute(docs, min_docs, similarity):
     first = {}
     for members in groups.values():
         ids = [docs[r][0] for x in members for r in owners[x] if docs[r][0] is not None]
-        if sum(len(owners[x]) for x in members) >= min_docs and ids and min(ids) != max(ids):
+        need = linededup.LONG_DOCS if len(members[0].split(" ")) >= linededup.LONG_WORDS else min_docs
+        if sum(len(owners[x]) for x in members) >= need and ids and min(ids) != max(ids):
             first |= {x: min(ids) for x in members}
     out = []
     for doc_id, text in docs:
