@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -31,7 +32,10 @@ def test_encoding_equals_the_library(library, vocabulary):
     rng = random.Random(11)
     texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 50))) for _ in range(3000)]
     texts += ["", " ", "▁", " " * 70_000 + "x", "ab" * 40_000, "梦" * 5_000, "".join(rng.choice("etaoins") for _ in range(90_000))]
-    assert [encoder.encode(t).tolist() for t in texts] == library.encode(texts, num_threads=1)
+    want = library.encode(texts, num_threads=1)
+    for _ in range(2):  # new and remembered cuts
+        ids, number = encoder.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(number)[:-1])] == want
 
 
 def test_backtracking_gives_up_positions(vocabulary):
@@ -41,7 +45,10 @@ def test_backtracking_gives_up_positions(vocabulary):
     greedy = 0
     for _ in range(500):
         text = "".join(rng.choice("aeinrst") for _ in range(12))
-        path = [encoder.texts[k] for k in encoder.covered(text)]
+        longest = encoder.find.longest(encoder.find.letter[list(map(ord, text))], np.array([0]), np.array([12]), 12)
+        path = [encoder.texts[k] for k in encoder.one(longest, 0, 12)[1]]
+        beside = encoder.covered(longest, np.array([0]), np.array([12]))
+        assert [encoder.texts[k] for k in beside if k >= 0] == path
         assert path == encoder.merged(text)
         greedy += any(text.startswith(longer, at) for at, p in zip(_starts(path), path)
                       for longer in encoder.texts if len(longer) > len(p))
