@@ -316,7 +316,8 @@ def q_sample_hash(spark, d):
 
 
 def q_sample_seeded(spark, d):
-    return scaling.seeded_sample(trips(spark, d), 0.05, 42).select(*TRIP_COLS)
+    """Exactly 5 % of the rows, by a seeded hash."""
+    return scaling.exact_sample(trips(spark, d), 0.05, 42).select(*TRIP_COLS)
 
 
 def q_sweep_counts(spark, d):
@@ -334,6 +335,11 @@ def q_sweep_build(spark, d):
         (F.col("sample_pct") / 100).alias("sample_fraction"), "raw_rows", "cleaned_rows", "edges")
 
 
+def q_build_counts(spark, d):
+    """B1's counts over all trips, in one scan."""
+    return scaling.build_counts(trips(spark, d))
+
+
 def q_sweep_pagerank(spark, d):
     """B2 on a tenth of the trips and on all: graph sizes and rounds, without the clock."""
     t = trips(spark, d)
@@ -435,7 +441,7 @@ def q_zone_kmeans(spark, d):
     from odgraph.operators import zones
 
     pp = pipe(spark, d)
-    return zones.zone_kmeans(zones.zone_features(pp.ranks, pp.degrees, pp.hits)).select("zone_id", "cluster")
+    return zones.zone_kmeans(zones.zone_features(pp.ranks, pp.degrees, pp.hits)).select("zone_id", "cluster", "converged")
 
 
 def q_louvain(spark, d):
@@ -493,7 +499,7 @@ def q_edges_by_month(spark, d):
     return round_cols(temporal.edges_by_month(pipe(spark, d).clean), {"total_fare": 4})
 
 
-def _window_out(df):
+def _window_out(df, *more):
     from odgraph.functions.exprs import utc_day
 
     # batch windows over TIMESTAMP_NTZ are wall-clock values; stream windows
@@ -502,7 +508,7 @@ def _window_out(df):
     day = (F.date_format(start, "yyyy-MM-dd") if dict(df.dtypes)["window_start"] == "timestamp_ntz"
            else utc_day(start))
     return round_cols(
-        df.select(day.alias("window_start"), "src", "dst", "trip_count", "total_fare"),
+        df.select(*more, day.alias("window_start"), "src", "dst", "trip_count", "total_fare"),
         {"total_fare": 4},
     )
 
@@ -528,6 +534,54 @@ def q_stream_edges(spark, d):
     return _window_out(sedges.read_stream_result(spark, out))
 
 
+def _late(day: str):
+    """Trips before ``day`` in one of a hundred hash buckets: those that come late in a stream."""
+    from odgraph.functions.exprs import hash_bucket
+
+    return (hash_bucket(*scaling.TRIP_KEY) == 0) & (F.col("pickup_ts") < F.lit(day).cast("timestamp_ntz"))
+
+
+def q_stream_edges_live(spark, d):
+    """P1 live: a first run over the trips before 1995, a second over the others and
+    the late ones, its last batch run again; the table before and after compaction."""
+    from odgraph.session import scratch_path
+    from odgraph.streaming import edges as sedges
+    from odgraph.streaming.live import LiveTable
+
+    t = trips(spark, d)
+    late = F.coalesce(_late("1994-01-01"), F.lit(False))
+    early = F.coalesce(F.col("pickup_ts") < F.lit("1995-01-01").cast("timestamp_ntz"), F.lit(False))
+    src, out, ckpt = (scratch_path(spark, f"live_{x}") for x in ("src", "out", "ckpt"))
+    for rows in (t.where(early & ~late), t.where(late | ~early)):
+        rows.write.mode("append").parquet(src)
+        sedges.run_stream_edges(spark, src, out, ckpt, schema=t.schema, watermark="14 days", max_files_per_trigger=None)
+    live = LiveTable(spark, out)
+    last = max(int(n.rsplit("=", 1)[1]) for n in live._names("batches/batch_id=*"))
+    again = scratch_path(spark, "live_again")
+    live.batch(last).write.parquet(again)
+    live.upsert(spark.read.parquet(again), last)
+    before = scratch_path(spark, "live_before")
+    live.read().write.parquet(before)
+    live.compact()
+    live.upsert(spark.read.parquet(again), last)  # a batch below the mark changes nothing
+    both = spark.read.parquet(before).select(F.lit("before").alias("state"), "*").unionByName(
+        live.read().select(F.lit("after").alias("state"), "*"))
+    return _window_out(both, "state")
+
+
+def q_stream_edges_closed(spark, d):
+    """P1 state: windows of a week, each told when the watermark has passed it."""
+    from odgraph.session import scratch_path
+    from odgraph.sources.trips import trips_from_lineitem
+    from odgraph.streaming import closing
+
+    out = scratch_path(spark, "closing_edges")
+    folder, glob = io.stream_source(spark, f"{d.rstrip('/')}/lineitem.parquet")
+    closing.run_closing_edges(spark, folder, out, scratch_path(spark, "closing_ckpt"), schema=table(spark, d, "lineitem").schema,
+                              transform=trips_from_lineitem, glob=glob, max_files_per_trigger=16)
+    return _window_out(closing.read_closed(spark, out))
+
+
 def q_size_rank_corr(spark, d):
     return _r6(report.size_rank_correlation(pipe(spark, d).community_stats), "size_rank_corr")
 
@@ -550,7 +604,7 @@ def q_zone_cluster_profile(spark, d):
 
     pp = pipe(spark, d)
     km = zones.zone_kmeans(zones.zone_features(pp.ranks, pp.degrees, pp.hits))
-    return zones.cluster_profile(km)
+    return _r6(zones.cluster_profile(km), *[f"avg_{c}" for c in zones.FEATURES])
 
 
 def q_hourly_profile(spark, d):

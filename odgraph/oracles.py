@@ -284,6 +284,16 @@ SQL["summary_report"] = with_(*COMM, recursive=True) + """SELECT metric, ROUND(v
 # ------------------------------------------------------------------ scaling
 HASH = "('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)), 1, 8))::BIGINT % 100"
 SQL["sample_hash"] = with_(TRIPS) + f"SELECT {TRIP_COLS} FROM trips WHERE {HASH} < 5"
+ORDER_KEY = ("('0x' || substr(md5(COALESCE(CAST(l_orderkey AS VARCHAR), '') || '-' || COALESCE(CAST(l_linenumber AS VARCHAR), '')"
+             " || '-42'), 1, 15))::BIGINT")
+SQL["sample_seeded"] = with_(TRIPS) + (
+    f"SELECT {TRIP_COLS} FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {ORDER_KEY}, l_orderkey, l_linenumber) AS rn FROM trips)"
+    " WHERE rn <= (SELECT FLOOR(0.05 * COUNT(*) + 0.5) FROM trips)"
+)
+SQL["build_counts"] = with_(TRIPS, CLEAN) + (
+    "SELECT (SELECT COUNT(*) FROM trips) AS raw_rows, (SELECT COUNT(*) FROM clean) AS cleaned_rows,"
+    " (SELECT COUNT(*) FROM (SELECT DISTINCT PULocationID, DOLocationID FROM clean)) AS edges"
+)
 SQL["sweep_counts"] = with_(
     TRIPS,
     f"""hb AS (SELECT {HASH} AS h,
@@ -395,6 +405,17 @@ SQL["edges_by_window"] = with_(TRIPS, CLEAN) + (
     " FROM clean GROUP BY 1, 2, 3"
 )
 SQL["stream_edges"] = SQL["edges_by_window"]
+# late trips come when the watermark has long passed their windows, so a live table lacks them
+_LIVE = SQL["edges_by_window"].replace(
+    " FROM clean GROUP BY", f" FROM clean WHERE NOT ({HASH} = 0 AND pickup_ts < TIMESTAMP '1994-01-01') GROUP BY")
+SQL["stream_edges_live"] = f"SELECT * FROM (VALUES ('before'), ('after')) s(state) CROSS JOIN ({_LIVE})"
+# windows that end by the last valid trip's time less 14 days
+SQL["stream_edges_closed"] = with_(TRIPS, CLEAN) + (
+    "SELECT strftime(w, '%Y-%m-%d') AS window_start, PULocationID AS src, DOLocationID AS dst, COUNT(*) AS trip_count,"
+    " ROUND(SUM(fare_amount), 4) AS total_fare"
+    " FROM (SELECT *, time_bucket(INTERVAL '7 days', pickup_ts, TIMESTAMP '1970-01-01') AS w FROM clean)"
+    " WHERE w + INTERVAL '7 days' <= (SELECT MAX(pickup_ts) FROM clean) - INTERVAL '14 days' GROUP BY 1, 2, 3"
+)
 
 SQL["size_rank_corr"] = with_(*COMM, recursive=True) + (
     "SELECT ROUND(CORR(num_zones::DOUBLE, total_pagerank), 6) AS size_rank_corr, COUNT(*) AS num_communities FROM cstats"
@@ -485,3 +506,37 @@ sides AS (
 SELECT zone_id, ROUND(pagerank, 6) AS pagerank, out_degree, in_degree, out_strength, in_strength,
        ROUND(hub, 6) AS hub, ROUND(authority, 6) AS authority
 FROM pr JOIN sides USING (zone_id) JOIN norms USING (zone_id)"""
+
+# k-means: farthest-first centres, then rounds until no zone changes its cluster
+_FEATURES = ("pagerank", "out_degree", "in_degree", "out_strength", "in_strength", "hub", "authority")
+_POINTS = SQL["zone_features"].replace("ROUND(pagerank, 6)", "pagerank").replace("ROUND(hub, 6)", "hub").replace(
+    "ROUND(authority, 6)", "authority")
+_AWAY = "list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+def _seed(k: int) -> str:
+    if k == 0:
+        return f"c0 AS (SELECT 0 AS k, x FROM pts ORDER BY {_AWAY.format(a='x', b='[0.0, 0, 0, 0, 0, 0, 0]')} DESC, zone_id LIMIT 1)"
+    away = _AWAY.format(a="pts.x", b="c.x")
+    return (f"c{k} AS (SELECT * FROM c{k - 1} UNION ALL (SELECT {k}, x FROM (SELECT pts.zone_id, any_value(pts.x) AS x, MIN({away}) AS d"
+            f" FROM pts CROSS JOIN c{k - 1} c GROUP BY pts.zone_id) WHERE d > 0 ORDER BY d DESC, zone_id LIMIT 1))")
+
+
+_SCALED = ", ".join(f"COALESCE(({c} - AVG({c}) OVER ()) / NULLIF(STDDEV_SAMP({c}) OVER (), 0), 0)" for c in _FEATURES)
+_MEANS = ", ".join(f"AVG(x[{i}])" for i in range(1, 8))
+KMEANS = f"""feats AS ({_POINTS}),
+pts AS (SELECT zone_id, [{_SCALED}] AS x FROM feats),
+{", ".join(_seed(k) for k in range(5))},
+km(it, zone_id, x, k, moved) AS (
+  SELECT 0, zone_id, x, k, TRUE FROM (
+    SELECT pts.zone_id, pts.x, c.k, ROW_NUMBER() OVER (PARTITION BY pts.zone_id ORDER BY {_AWAY.format(a="pts.x", b="c.x")}, c.k) AS rn
+    FROM pts CROSS JOIN c4 c) WHERE rn = 1
+  UNION ALL
+  SELECT it, zone_id, x, k, bool_or(k <> was) OVER () FROM (
+    SELECT h.it + 1 AS it, h.zone_id, h.x, h.k AS was, c.k,
+           ROW_NUMBER() OVER (PARTITION BY h.zone_id ORDER BY {_AWAY.format(a="h.x", b="c.x")}, c.k) AS rn
+    FROM km h CROSS JOIN (SELECT k, [{_MEANS}] AS x FROM km GROUP BY k) c WHERE h.moved) WHERE rn = 1),
+clusters AS (SELECT zone_id, k AS cluster FROM km WHERE it = (SELECT MAX(it) FROM km))"""
+SQL["zone_kmeans"] = f"WITH RECURSIVE {KMEANS} SELECT zone_id, cluster, TRUE AS converged FROM clusters"
+SQL["zone_cluster_profile"] = f"WITH RECURSIVE {KMEANS} SELECT cluster, COUNT(*) AS num_zones, " + ", ".join(
+    f"ROUND(AVG({c}), 6) AS avg_{c}" for c in _FEATURES) + " FROM clusters JOIN feats USING (zone_id) GROUP BY cluster"

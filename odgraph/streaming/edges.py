@@ -12,7 +12,10 @@ edge counts, in one of two ways:
   folders into one.  The stream keeps no state.
 * **live** (a watermark): windows are stream state; once the watermark passes
   a window its state is released and later trips for it are dropped.  Every
-  micro-batch writes the updated rows, and the latest batch's row counts.
+  micro-batch upserts its updated rows into a :class:`~odgraph.streaming.live.LiveTable`.
+
+:mod:`odgraph.streaming.closing` tells every window once, when it closes, and
+counts the trips that come later.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 
 from odgraph.functions.exprs import ntz_as_utc_instant, valid_trip
 from odgraph.params import DEFAULTS, DROPOFF, FARE, PICKUP, PICKUP_TS, Params
+from odgraph.streaming.live import LiveTable
 
 
 def _dated(trips: DataFrame) -> DataFrame:
@@ -83,8 +87,9 @@ def run_stream_edges(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if watermark is None:
-            batch = _window_counts(batch, duration)
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            _window_counts(batch, duration).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        else:
+            LiveTable(spark, out).upsert(batch, batch_id)
 
     q = (
         rows.writeStream.outputMode(mode)
@@ -97,21 +102,17 @@ def run_stream_edges(
 
 
 def read_stream_result(spark: SparkSession, out: str, live: bool = False) -> DataFrame:
-    """Current edge list from the batch folders: partial counts added up, or for a
-    ``live`` stream the latest batch's row of every (window, src, dst)."""
-    rows = spark.read.parquet(out)
-    if not live:
-        return rows.groupBy("window_start", "window_end", "src", "dst").agg(
-            F.sum("trip_count").alias("trip_count"), F.sum("total_fare").alias("total_fare"))
-    latest = F.max_by(F.struct("trip_count", "total_fare", "window_end"), F.col("batch_id"))
-    return rows.groupBy("window_start", "src", "dst").agg(latest.alias("r")).select(
-        "window_start", F.col("r.window_end").alias("window_end"), "src", "dst",
-        F.col("r.trip_count").alias("trip_count"), F.col("r.total_fare").alias("total_fare"),
-    )
+    """Current edge list: a backlog's partial counts added up, or a ``live``
+    stream's current row of every (window, src, dst)."""
+    if live:
+        return LiveTable(spark, out).read()
+    return spark.read.parquet(out).groupBy("window_start", "window_end", "src", "dst").agg(
+        F.sum("trip_count").alias("trip_count"), F.sum("total_fare").alias("total_fare"))
 
 
 def compact_stream_result(spark: SparkSession, out: str, target: str) -> str:
     """Fold a finished backlog run's batch folders into one table at ``target``
-    (read it with :func:`read_stream_result` too); run it between runs."""
+    (read it with :func:`read_stream_result` too); run it between runs.  A live
+    stream's table is folded by :meth:`LiveTable.compact`."""
     read_stream_result(spark, out).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
     return target
