@@ -6,7 +6,7 @@ Times (seconds, wall clock, JVM start-up excluded, each result fully
 materialised through the ``noop`` sink):
 
 * ``benchmark_build_graph``  the reference's timed step: raw, cleaned and edge
-  counts (one observed pass), comparable to BASELINE's 3.33 s (2.2 M rows)
+  counts (one scan, one grouping), comparable to BASELINE's 3.33 s (2.2 M rows)
 * ``benchmark_pagerank_5_with_build``  edges + 5 PageRank rounds from raw trips,
   comparable to BASELINE's 10.95 s
 * ``build_graph``       trips → clean → full edge list (the reference's step 1)

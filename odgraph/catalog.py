@@ -354,7 +354,8 @@ def _coverage(spark, d):
 
 def q_compare_metrics(spark, d):
     raw, kept = _coverage(spark, d)
-    return _r6(scaling.compare_metrics(raw, kept), "speedup")
+    both = scaling.compare_metrics(kept, raw, "result_rows", ("clean", "raw"), "share_kept")
+    return _r6(both, "share_kept")
 
 
 def q_success_rate(spark, d):
@@ -364,17 +365,17 @@ def q_success_rate(spark, d):
 
 def q_stress_curve(spark, d):
     raw, kept = _coverage(spark, d)
-    return scaling.stress_curve(raw.unionByName(kept))
+    return scaling.stress_curve(raw.unionByName(kept), "result_rows")
 
 
 def q_run_summary(spark, d):
-    """X6 over a build and a rank table whose minutes come from counts."""
+    """X6 over a build and a rank table of counts: the rows that each step reads."""
     counts = scaling.sweep_counts(trips(spark, d), SWEEP)
     name = F.format_string("sample_%dpct", F.col("sample_pct")).alias("run_name")
     fraction = (F.col("sample_pct") / 100).alias("sample_fraction")
-    build = counts.select(name, F.lit("build_graph").alias("step"), fraction, (F.col("raw_rows") / 6e7).alias("runtime_minutes"))
-    ranks = counts.select(name, F.lit("pagerank").alias("step"), fraction, (F.col("edges") / 6e7).alias("total_runtime_minutes"))
-    return round_cols(scaling.run_summary(build, ranks), {"runtime_minutes": 9})
+    build = counts.select(name, F.lit("build_graph").alias("step"), fraction, F.col("raw_rows").alias("rows_read"))
+    ranks = counts.select(name, F.lit("pagerank").alias("step"), fraction, F.col("edges").alias("edges_read"))
+    return scaling.run_summary(build, ranks, ("rows_read", "edges_read"))
 
 
 # ------------------------------------------------------------------ tier B: more centrality
@@ -596,7 +597,7 @@ def q_metrics_csv_roundtrip(spark, d):
 
     raw, kept = _coverage(spark, d)
     path = io.write_metrics_csv(raw.unionByName(kept), scratch_path(spark, "metrics_csv"))
-    return io.read_metrics_csv(spark, path, scaling.STRESS_METRICS)
+    return io.read_metrics_csv(spark, path, scaling.COVERAGE_METRICS)
 
 
 def q_zone_cluster_profile(spark, d):

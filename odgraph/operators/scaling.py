@@ -70,6 +70,9 @@ STRESS_METRICS = T.StructType(
     ]
 )
 
+#: Metric rows that hold counts and no times.
+COVERAGE_METRICS = T.StructType([f for f in STRESS_METRICS if f.name != "time_seconds"])
+
 
 def hash_sample(df: DataFrame, percent: int, keys=TRIP_KEY) -> DataFrame:
     """Rows whose md5 bucket (0..99) is below ``percent``."""
@@ -221,10 +224,8 @@ def coverage_metrics(trips: DataFrame, mode: str, percents=(1, 5, 10, 20, 50, 10
     """Metric rows of the sample sweep, from counts alone.
 
     For every sample size: does the sampled graph have at least half of the
-    full graph's edges (status), and how many rows did it take (``raw``: all
-    rows of the sample, ``clean``: those that pass the cleaning rule).  The
-    time is that of a reader of a million rows a second, so that metric
-    tables can be compared without a clock.
+    full graph's edges (status), and how many rows did it read (``raw``: all
+    rows of the sample, ``clean``: those that pass the cleaning rule).
     """
     counts = sweep_counts(trips, percents, p)
     most = counts.agg(F.max("edges")).scalar()
@@ -235,7 +236,7 @@ def coverage_metrics(trips: DataFrame, mode: str, percents=(1, 5, 10, 20, 50, 10
         F.format_string("sample_%dpct", F.col("sample_pct")).alias("test"),
         F.when(enough, "SUCCESS").otherwise("FAILED").alias("status"),
         (F.col("sample_pct") / 100).alias("sample_fraction"), rows.alias("result_rows"),
-        (rows / 1e6).alias("time_seconds"), F.when(~enough, "too few edges").alias("error"),
+        F.when(~enough, "too few edges").alias("error"),
     )
 
 
@@ -245,20 +246,20 @@ def first_per_test(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def compare_metrics(single: DataFrame, cluster: DataFrame) -> DataFrame:
-    """Per common test — times, speedup, memory; speedup only if both succeeded."""
-    s = first_per_test(single).select(
-        "test", F.col("status").alias("single_status"), F.col("time_seconds").alias("single_time"),
-        *( [F.col("memory_delta_gb").alias("single_memory_gb")] if "memory_delta_gb" in single.columns else [] ),
-    )
-    c = first_per_test(cluster).select(
-        "test", F.col("status").alias("cluster_status"), F.col("time_seconds").alias("cluster_time"),
-        *( [F.col("memory_delta_gb").alias("cluster_memory_gb")] if "memory_delta_gb" in cluster.columns else [] ),
-    )
-    both_ok = (F.col("single_status") == "SUCCESS") & (F.col("cluster_status") == "SUCCESS")
-    return s.join(c, "test", "inner").withColumn(
-        "speedup", F.when(both_ok, F.try_divide(F.col("single_time"), F.col("cluster_time")))
-    ).withColumn("complete", both_ok)
+def compare_metrics(one: DataFrame, other: DataFrame, measure: str = "time_seconds",
+                    names: tuple[str, str] = ("single", "cluster"), ratio: str = "speedup") -> DataFrame:
+    """Per common test the status and ``measure`` of both tables (``<name>_status``,
+    ``<name>_<measure>``, memory where there is any) and ``ratio``, the first measure over
+    the second, only where both succeeded."""
+    def side(metrics, name):
+        columns = [c for c in (measure, "memory_delta_gb") if c in metrics.columns]
+        return first_per_test(metrics).select("test", F.col("status").alias(f"{name}_status"),
+                                              *[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+    a, b = names
+    both_ok = (F.col(f"{a}_status") == "SUCCESS") & (F.col(f"{b}_status") == "SUCCESS")
+    value = F.try_divide(F.col(f"{a}_{measure}").cast("double"), F.col(f"{b}_{measure}").cast("double"))
+    return side(one, a).join(side(other, b), "test").withColumn(ratio, F.when(both_ok, value)).withColumn("complete", both_ok)
 
 
 def success_rate(metrics: DataFrame) -> DataFrame:
@@ -275,18 +276,18 @@ def status_counts(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("mode", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def stress_curve(metrics: DataFrame) -> DataFrame:
-    """(fraction %, seconds) of successful runs."""
+def stress_curve(metrics: DataFrame, measure: str = "time_seconds") -> DataFrame:
+    """(fraction %, measure) of successful runs."""
     return (
         metrics.filter(F.col("status") == "SUCCESS")
-        .select("mode", (F.col("sample_fraction") * 100).alias("sample_pct"), "time_seconds")
+        .select("mode", (F.col("sample_fraction") * 100).alias("sample_pct"), measure)
     )
 
 
-def run_summary(build: DataFrame, pr: DataFrame) -> DataFrame:
-    """One runtime-in-minutes per (run, step) over both metric tables."""
+def run_summary(build: DataFrame, pr: DataFrame, columns: tuple[str, str] = ("runtime_minutes", "total_runtime_minutes")) -> DataFrame:
+    """One value per (run, step) over both metric tables, the first of ``columns``
+    that a row has, under the first's name."""
     u = build.unionByName(pr, allowMissingColumns=True)
     return u.select(
-        "run_name", "step", "sample_fraction",
-        F.coalesce(F.col("runtime_minutes"), F.col("total_runtime_minutes")).alias("runtime_minutes"),
-    ).filter(F.col("runtime_minutes").isNotNull())
+        "run_name", "step", "sample_fraction", F.coalesce(*columns).alias(columns[0]),
+    ).filter(F.col(columns[0]).isNotNull())

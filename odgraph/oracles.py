@@ -464,27 +464,26 @@ SQL["sweep_build"] = COUNTS + f""" SELECT {RUN}, 'build_graph' AS step, sample_p
   raw_rows, cleaned_rows, edges FROM counts"""
 SQL["metrics_json_latest"] = SQL["sweep_build"] + " WHERE sample_pct = 100"
 SQL["run_summary"] = COUNTS + f""" SELECT {RUN}, 'build_graph' AS step, sample_pct / 100.0::DOUBLE AS sample_fraction,
-  ROUND(raw_rows / 6e7::DOUBLE, 9) AS runtime_minutes FROM counts
-  UNION ALL SELECT {RUN}, 'pagerank', sample_pct / 100.0::DOUBLE, ROUND(edges / 6e7::DOUBLE, 9) FROM counts"""
+  raw_rows AS rows_read FROM counts
+  UNION ALL SELECT {RUN}, 'pagerank', sample_pct / 100.0::DOUBLE, edges FROM counts"""
 COVERAGE = COUNTS + """, metrics AS (
   SELECT mode, sample_pct AS seq, 'sample_' || sample_pct || 'pct' AS test,
          CASE WHEN edges * 2 >= (SELECT MAX(edges) FROM counts) THEN 'SUCCESS' ELSE 'FAILED' END AS status,
          sample_pct / 100.0::DOUBLE AS sample_fraction,
          CASE mode WHEN 'raw' THEN raw_rows ELSE cleaned_rows END AS result_rows
   FROM counts, (VALUES ('raw'), ('clean')) m(mode)) """
-SQL["metrics_csv_roundtrip"] = COVERAGE + """SELECT *, result_rows / 1e6::DOUBLE AS time_seconds,
+SQL["metrics_csv_roundtrip"] = COVERAGE + """SELECT *,
   CASE WHEN status = 'FAILED' THEN 'too few edges' END AS error FROM metrics"""
 SQL["success_rate"] = COVERAGE + """SELECT mode, COUNT(*) AS tests, COUNT(*) FILTER (WHERE status = 'SUCCESS') AS successes,
   ROUND(COUNT(*) FILTER (WHERE status = 'SUCCESS') / COUNT(*)::DOUBLE * 100, 6) AS success_pct FROM metrics GROUP BY mode"""
 SQL["status_counts"] = COVERAGE + "SELECT mode, status, COUNT(*) AS n FROM metrics GROUP BY 1, 2"
-SQL["stress_curve"] = COVERAGE + """SELECT mode, sample_fraction * 100 AS sample_pct, result_rows / 1e6::DOUBLE AS time_seconds
+SQL["stress_curve"] = COVERAGE + """SELECT mode, sample_fraction * 100 AS sample_pct, result_rows
   FROM metrics WHERE status = 'SUCCESS'"""
-SQL["compare_metrics"] = COVERAGE + """SELECT s.test, s.status AS single_status, s.result_rows / 1e6::DOUBLE AS single_time,
-  c.status AS cluster_status, c.result_rows / 1e6::DOUBLE AS cluster_time,
-  CASE WHEN s.status = 'SUCCESS' AND c.status = 'SUCCESS'
-       THEN ROUND((s.result_rows / 1e6::DOUBLE) / (c.result_rows / 1e6::DOUBLE), 6) END AS speedup,
-  s.status = 'SUCCESS' AND c.status = 'SUCCESS' AS complete
-  FROM metrics s JOIN metrics c USING (test) WHERE s.mode = 'raw' AND c.mode = 'clean'"""
+SQL["compare_metrics"] = COVERAGE + """SELECT c.test, c.status AS clean_status, c.result_rows AS clean_result_rows,
+  r.status AS raw_status, r.result_rows AS raw_result_rows,
+  CASE WHEN r.status = 'SUCCESS' AND c.status = 'SUCCESS' THEN ROUND(c.result_rows / r.result_rows::DOUBLE, 6) END AS share_kept,
+  r.status = 'SUCCESS' AND c.status = 'SUCCESS' AS complete
+  FROM metrics r JOIN metrics c USING (test) WHERE r.mode = 'raw' AND c.mode = 'clean'"""
 SQL["sweep_pagerank"] = with_(TRIPS, CLEAN) + " UNION ALL ".join(
     f"""SELECT 'sample_{pct}pct' AS run_name, 'pagerank' AS step, {pct / 100}::DOUBLE AS sample_fraction,
   (SELECT COUNT(DISTINCT id) FROM (SELECT PULocationID AS id FROM clean WHERE {HASH} < {pct}
