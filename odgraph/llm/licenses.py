@@ -30,7 +30,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odgraph.llm import licensetexts
@@ -104,6 +104,14 @@ def _plain(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
+def _together(likely: DataFrame) -> DataFrame:
+    """Likely texts dealt by key: the words of a text are then counted, weighed and
+    summed where the text is, for a grouping by key and more needs no exchange.
+    The number of partitions is given, for every text grows to many words."""
+    parts = int(likely.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return likely.repartition(parts, "key")
+
+
 def own_licenses(files: DataFrame, key: str, text_col: str, templates=TEMPLATES,
                  threshold: float = THRESHOLD) -> DataFrame:
     """``(key, own_license, own_score, opens, is_license)`` of the files that state
@@ -119,6 +127,7 @@ def own_licenses(files: DataFrame, key: str, text_col: str, templates=TEMPLATES,
     pattern = r"(?<![a-z0-9])(?:" + "|".join(sorted(w.filter)) + r")(?![a-z0-9])"
     text = _plain(F.col(text_col).cast("string"))
     likely = files.select(F.col(key).alias("key"), text.alias("text")).where(F.col("text").rlike(pattern))
+    likely = _together(likely)
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike("[a-z0-9]"))
     # unit 0 is the whole text, unit n its n-th line with a letter or digit
     units = likely.select("key", F.posexplode(F.concat(F.array("text"), lines)).alias("unit", "line"))
@@ -205,12 +214,13 @@ def _matches(units: DataFrame, w: Weights, threshold: float, whole: bool, stop)
     counts = terms.groupBy("key", "unit", "opens", "is_whole", "term").agg(F.count("*").alias("n"))
     idf = F.broadcast(spark.createDataFrame(sorted(w.idf.items()), "term string, idf double"))
     weighed = counts.join(idf, "term", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(w.unknown)))
-    norms = weighed.groupBy("key", "unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    weighed = weighed.withColumn("norm", F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("key", "unit"))))
     pairs = [(name, t, x, len(v)) for name, v in sorted(w.vectors.items()) for t, x in sorted(v.items())]
     pairs = F.broadcast(spark.createDataFrame(pairs, "template string, term string, weight double, size int"))
     dots = weighed.join(pairs, "term").groupBy("key", "unit", "opens", "is_whole", "template").agg(
-        F.sum(F.col("x") * F.col("weight")).alias("dot"), F.count("*").alias("n"), F.any_value("size").alias("size"))
-    scored = dots.join(norms, ["key", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
+        F.sum(F.col("x") * F.col("weight")).alias("dot"), F.count("*").alias("n"), F.any_value("size").alias("size"),
+        F.any_value("norm").alias("norm"))
+    scored = dots.withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
     scored = scored.where(F.col("score") >= threshold)
     return scored.where("n = size") if whole else scored
 
@@ -230,7 +240,7 @@ def text_licenses(files: DataFrame, key: str, text_col: str, threshold: float =
     # what no part of the whole text can match is not cut into units
     likely = likely.where(_possible(F.col("hit"), long, threshold, False) | _possible(F.col("hit"), short, threshold, True)
                           | F.col("text").rlike(reserved)).drop("hit")
-    likely = cut(likely, "license-texts")
+    likely = _together(cut(likely, "license-texts"))
     raw = F.split("text", "\n")
     likely = likely.withColumn("raw", raw).withColumn("lines", F.filter("raw", lambda x: x.rlike("[a-z0-9]")))
 

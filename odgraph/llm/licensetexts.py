@@ -9,7 +9,7 @@ have titles and tags but no text here.
 from __future__ import annotations
 
 import re
-from pathlib import Path
+from importlib import resources
 
 #: Words of any English text; they weigh nothing in long templates.
 STOP = frozenset("""a all an and any are as at be but by do for from has have if in into is it its may no not of on or
@@ -69,8 +69,9 @@ RESERVED = "LicenseRef-All-Rights-Reserved"
 
 def texts() -> dict[str, str]:
     """Whole license texts by identifier."""
-    root = Path(__file__).parent / "license_texts"
-    out = {f.name.removesuffix(".txt"): f.read_text() for f in sorted(root.glob("*.txt"))}
+    root = resources.files("odgraph.llm") / "license_texts"  # also inside a zip
+    found = sorted((f for f in root.iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    out = {f.name.removesuffix(".txt"): f.read_text() for f in found}
     affero = re.sub(r"(?i)GNU\s+GENERAL\s+PUBLIC\s+LICENSE", "GNU Affero General Public License", out["GPL-3.0"])
     out["AGPL-3.0"] = affero
     out["BSD-2-Clause"] = re.sub(r"(?s)3\. Neither.*?permission\.\n", "", out["BSD-3-Clause"])

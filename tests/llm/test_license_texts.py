@@ -66,3 +66,20 @@ def test_the_filters_pass_every_match():
         heavy, n = licenses._needed(v, licenses.THRESHOLD)
         kept = set(v) - set(heavy) | set(heavy[:n - 1])
         assert sum(v[t] ** 2 for t in kept) < licenses.THRESHOLD ** 2, name
+
+
+def test_texts_are_found_inside_a_zip(tmp_path):
+    import pathlib
+    import subprocess
+    import sys
+    import zipfile
+
+    import odgraph
+
+    root = pathlib.Path(odgraph.__file__).parent
+    with zipfile.ZipFile(tmp_path / "odgraph.zip", "w") as z:
+        for f in root.rglob("*"):
+            if f.suffix in (".py", ".txt"):
+                z.write(f, f.relative_to(root.parent))
+    code = "from odgraph.llm import licensetexts; t = licensetexts.texts(); assert 'AGPL-3.0' in t, t"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env={"PYTHONPATH": str(tmp_path / "odgraph.zip")})
