@@ -405,6 +405,15 @@ def q_pagerank_tol(spark, d):
     return _r6(rank.pagerank_to_tolerance(pipe(spark, d).graph), "pagerank")
 
 
+def q_pagerank_residual(spark, d):
+    return _r6(rank.pagerank_residual(pipe(spark, d).graph, tolerance=1e-9), "pagerank")
+
+
+def q_pagerank_unit(spark, d):
+    """G2 with ranks that sum to 1."""
+    return round_cols(rank.pagerank(pipe(spark, d).graph, scale="1"), {"pagerank": 9})
+
+
 def q_degree_vs_rank(spark, d):
     pp = pipe(spark, d)
     return _r6(rank.degree_vs_rank(pp.degrees, pp.ranks), "pagerank")

@@ -1,4 +1,4 @@
-"""PageRank (plain, weighted, to tolerance), HITS.
+"""PageRank (plain, weighted, to tolerance, by residuals), HITS.
 
 PageRank semantics (static, as Spark's GraphX computes it)::
 
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from odgraph.graph import Graph
+from odgraph.operators.frontier import FrontierEdges, OnRound
 from odgraph.params import DEFAULTS, Params
 from odgraph.plans.iterate import (
     VertexJoin, fixed_plans, graph_loop, materialize, release, reliable_checkpoint, run_rounds,
@@ -130,6 +131,61 @@ def pagerank_to_tolerance(graph: Graph, p: Params = DEFAULTS, max_iterations: in
     return _scaled(state, n, scale).withColumn("iterations", F.lit(used)).withColumn("converged", F.lit(converged))
 
 
+def pagerank_residual(graph: Graph, p: Params = DEFAULTS, tolerance: float | None = None, weight: str | None = None,
+                      scale: str = "n", on_round: OnRound | None = None) -> DataFrame:
+    """G4 by residuals: only zones that still hold rank to pass on send messages.
+
+    Every zone starts with rank 1 and, as residual, the change that one round would
+    make.  A round moves the residual of each active zone (above ``tolerance`` in
+    size) into its rank and passes ``1 - r`` of it along its edges; a smaller
+    residual waits until more arrives.  Residuals of both signs cancel.
+    Rank plus waiting residual is returned, so what is left out is at most
+    ``(1 - r) / r * tolerance`` a zone on average.  The fixpoint is that of
+    :func:`pagerank_to_tolerance`.
+
+    While more zones are active than may be broadcast, a round reads the edge
+    table as the other loops do; from then on it reads the folders of the active
+    zones (:class:`~odgraph.operators.frontier.FrontierEdges`).  ``on_round`` is
+    called with the round, its active zones and, of rounds that read folders,
+    the edges read (else the size of the edge table).
+    """
+    tol = p.tolerance if tolerance is None else tolerance
+    damp = F.lit(1.0 - p.reset_prob)
+    active = F.abs(F.col("res")) > F.lit(tol)
+    with graph_loop(graph.edges, p):
+        verts, n, trans, vj0 = _prepared(graph, p, weight)
+        change = F.lit(p.reset_prob) + damp * F.sum("w") - F.lit(1.0)
+        state = reliable_checkpoint(trans.groupBy(F.col("dst").alias("id")).agg(
+            F.lit(1.0).alias("rank"), change.alias("res")))
+        trans = reliable_checkpoint(trans.where("w <> 0").withColumnRenamed("w", "len"))
+        n_edges = trans.count()
+        vj0.release()
+        release(verts)
+        whole, folders = None, None
+        for i in itertools.count():
+            frontier = state.where(active).select("id", "res")
+            zones = frontier.count()
+            if not zones:
+                break
+            if folders is None and zones > min(p.broadcast_vertex_limit, n // 2):
+                whole = whole or VertexJoin(trans, "src", "dst", n, p)
+                sent, seen = whole.attach(frontier), []
+            else:
+                folders = folders or FrontierEdges(trans, n_edges, p)
+                sent, zones, seen = folders.leaving(frontier)
+            passed = sent.select(F.col("dst").alias("id"), F.lit(0.0).alias("rank"),
+                                 (damp * F.col("res") * F.col("len")).alias("res"))
+            kept = state.select("id", F.when(active, F.col("rank") + F.col("res")).otherwise(F.col("rank")).alias("rank"),
+                                F.when(active, F.lit(0.0)).otherwise(F.col("res")).alias("res"))
+            state = reliable_checkpoint(kept.unionByName(passed).groupBy("id").agg(
+                F.sum("rank").alias("rank"), F.sum("res").alias("res")))
+            if on_round is not None:
+                on_round(i, zones, sum(s.get["edges"] for s in seen) if seen else n_edges)
+        if whole is not None:
+            whole.release()
+    return _scaled(state.select("id", (F.col("rank") + F.col("res")).alias("rank")), n, scale)
+
+
 def hits(graph: Graph, p: Params = DEFAULTS, iterations: int = 20) -> DataFrame:
     """hub/authority scores, L2-normalised.
 

@@ -443,6 +443,13 @@ SQL["pagerank_tol"] = with_(*GRAPH, PR_TOL, recursive=True) + (
     "SELECT id AS zone_id, ROUND(rank * (SELECT COUNT(*) FROM v) / (SELECT SUM(rank) FROM rt WHERE it = (SELECT it FROM lastit)), 6)"
     " AS pagerank, (SELECT it FROM lastit) AS iterations, TRUE AS converged FROM rt WHERE it = (SELECT it FROM lastit)"
 )
+SQL["pagerank_residual"] = with_(*GRAPH, PR_TOL.replace("1e-6", "1e-11"), recursive=True) + (
+    "SELECT id AS zone_id, ROUND(rank * (SELECT COUNT(*) FROM v) / (SELECT SUM(rank) FROM rt WHERE it = (SELECT it FROM lastit)), 6)"
+    " AS pagerank FROM rt WHERE it = (SELECT it FROM lastit)"
+)
+SQL["pagerank_unit"] = with_(*PR, recursive=True) + (
+    "SELECT zone_id, ROUND(pagerank / (SELECT COUNT(*) FROM v), 9) AS pagerank FROM pr"
+)
 _SAVED = {
     "edges": ("src", "dst", "total_fare", "edges"), "edges_csv": ("src", "dst", "total_fare", "edges"),
     "pagerank": ("zone_id", "zone_id", "pagerank", "pr"), "results_pagerank": ("zone_id", "zone_id", "pagerank", "pr"),

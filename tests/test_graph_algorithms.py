@@ -71,6 +71,51 @@ def test_pagerank_tolerance_matches_long_run(spark):
         assert abs(r.pagerank - ref[r.zone_id]) < 1e-4
 
 
+def _fixpoint(edges, zones, weights=None):
+    a = np.zeros((len(zones), len(zones)))
+    at = {z: k for k, z in enumerate(zones)}
+    for i, (s, d) in enumerate(edges):
+        a[at[s], at[d]] += 1.0 if weights is None else weights[i]
+    out = a.sum(1, keepdims=True)
+    m = np.divide(a, out, out=np.zeros_like(a), where=out > 0)
+    r = np.linalg.solve(np.eye(len(zones)) - 0.85 * m.T, np.full(len(zones), 0.15))
+    return dict(zip(zones, r * len(zones) / r.sum()))
+
+
+@pytest.mark.parametrize("knobs", [{}, {"broadcast_vertex_limit": 2, "edges_per_bucket": 3, "salt_rows": 2}])
+def test_residual_pagerank_reaches_the_fixpoint(spark, knobs):
+    w = [float(i % 3) for i in range(len(fixtures.TOY_EDGES))]
+    el = spark.createDataFrame([(s, d, int(x)) for (s, d), x in zip(fixtures.TOY_EDGES, w)],
+                               "src int, dst int, trip_count bigint")
+    g, p = Graph.from_edge_list(el), rank.DEFAULTS.with_(**knobs)
+    for weight, weights in ((None, None), ("weight", w)):
+        got = {r.zone_id: r.pagerank for r in rank.pagerank_residual(g, p, 1e-6, weight).collect()}
+        want = _fixpoint(fixtures.TOY_EDGES, list(range(1, 11)), weights)
+        assert got.keys() == want.keys() and max(abs(got[z] - want[z]) for z in want) < 1e-4
+    assert rank.pagerank_residual(Graph.from_edge_list(el.limit(0))).collect() == []
+
+
+def test_residual_pagerank_follows_active_zones(spark):
+    """60 pairs that end after one step and one long cycle: late rounds read the
+    folders of the cycle only."""
+    edges = [(1000 + 2 * k, 1001 + 2 * k) for k in range(60)] + [(k, (k + 1) % 5) for k in range(5)] + [(9, 0)]
+    el = spark.createDataFrame([(s, d, 1) for s, d in edges], "src int, dst int, trip_count bigint")
+    rounds = []
+    p = rank.DEFAULTS.with_(edges_per_bucket=2)
+    got = rank.pagerank_residual(Graph.from_edge_list(el), p, 1e-3, on_round=lambda *r: rounds.append(r)).collect()
+    want = _fixpoint(edges, sorted({z for e in edges for z in e}))
+    assert max(abs(r.pagerank - want[r.zone_id]) for r in got) < 0.05
+    zones = [z for _, z, _ in rounds]
+    assert zones[:2] == [62, 62] and set(zones[2:]) <= {1, 2}
+    assert all(read < 20 for _, _, read in rounds[2:])
+
+
+def test_ranks_that_sum_to_one(spark):
+    n = {r.zone_id: r.pagerank for r in rank.pagerank(_toy(spark)).collect()}
+    one = {r.zone_id: r.pagerank for r in rank.pagerank(_toy(spark), scale="1").collect()}
+    assert abs(sum(one.values()) - 1) < 1e-12 and all(abs(one[z] - n[z] / 10) < 1e-12 for z in n)
+
+
 @pytest.mark.parametrize("iters", [1, 2, 3, 10])
 def test_label_propagation_golden(spark, iters):
     got = community.label_propagation(_toy(spark), iterations=iters).orderBy("zone_id").collect()
