@@ -26,12 +26,14 @@ from odgraph.llm.common import slices, utf8
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select option object canvas "
-                "audio video button noembed noframes xmp".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select option object canvas "
+                "audio video noembed noframes xmp".split())
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav "
                    "ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCKS - {"br"}
+#: Elements whose text is something to press.
+CONTROLS = frozenset(("a", "button"))
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
@@ -42,10 +44,12 @@ BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense adslot adbox sponsor sponsored sponsors promo promotion promoted "
     "banner banners nav navbar navigation navi menu menus topbar toolbar breadcrumb breadcrumbs pagination pager "
     "sidebar sidebars aside complementary widget widgets footer foot contentinfo colophon header masthead "
-    "cookie cookies consent gdpr notice notices notification notifications alert alerts warning popup modal overlay dialog "
-    "newsletter subscribe subscription signup login signin register search form forms share sharing social follow "
-    "related recommended recommendations trending popular outbrain taboola comment comments commentlist respond disqus "
-    "replies reply discussion copyright legal disclaimer hidden skip".split())
+    "cookie cookies consent gdpr notice notices notification notifications popup modal overlay dialog "
+    "newsletter subscribe subscription signup login signin form forms share sharing social "
+    "related recommended recommendations trending outbrain taboola comment comments commentlist respond disqus "
+    "replies reply hidden".split())
+#: Names that boilerplate and articles share: evidence that a block's text may outweigh.
+DOUBTFUL_NAMES = frozenset("alert alerts warning register search follow popular discussion copyright legal disclaimer skip".split())
 #: Names by which an article element is not the page's article.
 OTHER_ARTICLES = frozenset("comment comments reply replies respond related recommended promo ad ads advert sponsored "
                            "teaser".split())
@@ -57,7 +61,7 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "negative", "positive", "names_only", "chars", "hidden")
+    __slots__ = ("tag", "parent", "depth", "negative", "doubtful", "positive", "names_only", "chars", "hidden")
 
     def __init__(self, tag, parent, attributes=""):
         self.tag, self.parent = tag, parent
@@ -76,6 +80,7 @@ class _Element:
             bad = tag not in ("html", "body") and bool(names & BOILERPLATE_NAMES)
         self.names_only = bad and tag not in BOILERPLATE_TAGS and not self.hidden
         self.negative = bad or tag in BOILERPLATE_TAGS or self.hidden
+        self.doubtful = not self.negative and tag not in ("html", "body", "article", "main") and bool(names & DOUBTFUL_NAMES)
         self.positive = not self.negative and (tag in ("article", "main") or bool(names & CONTENT_NAMES))
 
 
@@ -116,7 +121,7 @@ def parse(page: str) -> list[_Block]:
     def pop(to):
         nonlocal links
         while len(stack) > to:
-            if stack.pop().tag == "a":
+            if stack.pop().tag in CONTROLS:
                 links -= 1
 
     while at < end:
@@ -178,7 +183,7 @@ def parse(page: str) -> list[_Block]:
                         break
         if name not in VOID and not attributes.endswith("/") and name not in ("html",):
             stack.append(_Element(name, stack[-1], attributes))
-            links += name == "a"
+            links += name in CONTROLS
         if name in BLOCKS:
             block = _Block(stack[-1])
     new_block()
@@ -207,23 +212,24 @@ def scores(blocks: list[_Block]) -> list[float]:
         while e is not None:
             around.add(id(e))
             e = e.parent
-    known: dict[int, float] = {}
+    known: dict[int, tuple[float, float]] = {}
 
     def place(e):
         chain = []
         while e is not None and id(e) not in known:
             chain.append(e)
             e = e.parent
-        got = known[id(e)] if e is not None else 0.0
+        got, doubt = known[id(e)] if e is not None else (0.0, 0.0)
         for e in reversed(chain):
             if e.negative and not (e.names_only and id(e) in around):
                 got = -8.0
-            elif got <= -8.0:
-                pass
-            elif e.positive:
-                got = max(got, 4.0 if e.tag in ("article", "main") else 2.0)
-            known[id(e)] = got
-        return got
+            elif got > -8.0:
+                if e.positive:
+                    got = max(got, 4.0 if e.tag in ("article", "main") else 2.0)
+                if e.doubtful and id(e) not in around:
+                    doubt = -4.0
+            known[id(e)] = got, doubt
+        return got + doubt
 
     out = []
     for b in blocks:
@@ -247,7 +253,9 @@ def scores(blocks: list[_Block]) -> list[float]:
 
 def ties(blocks: list[_Block]) -> list[tuple[int, int, float]]:
     """Smoothness edges: to the next block, weaker the farther they are in the
-    element tree, and to the next block of the same parent element."""
+    element tree, and to the next block of the same parent element.  Two of them
+    weigh about as much as the text of a block, so its neighbours decide what the
+    text leaves open."""
     out = []
     last: dict[int, int] = {}
     for j, b in enumerate(blocks):
@@ -260,10 +268,10 @@ def ties(blocks: list[_Block]) -> list[tuple[int, int, float]]:
                 else:
                     y = y.parent
                 steps += 1
-            out.append((j - 1, j, 1.0 / (1 + steps) if steps <= 6 else 0.1))
+            out.append((j - 1, j, 2.0 / (1 + steps) if steps <= 6 else 0.2))
         i = last.get(parent)
         if i is not None and i != j - 1:
-            out.append((i, j, 0.3))
+            out.append((i, j, 0.6))
         last[parent] = j
     return out
 
@@ -388,7 +396,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
 
     Null and empty pages, and pages without content, have an empty text;
     repeated rows and null ids are returned as they are; nothing of a long
-    page is cut off; columns of other names are not read.
+    page is cut off; bytes that are not UTF-8 are read as U+FFFD; columns of other
+    names are not read.
     """
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in (id_col, *carry)]).alias("payload"),
                         F.col(html_col).cast("string").alias("html"))
@@ -396,7 +405,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     def read(batches):
         for batch in batches:
             for part in slices(batch, 1):
-                texts = [main_text(x.decode() if x is not None else None) for x in utf8(part.column(1))]
+                texts = [main_text(x.decode("utf-8", "replace") if x is not None else None) for x in utf8(part.column(1))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
                     ["payload", "text", "n_chars"])
