@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from odgraph.session import scratch_path
 
@@ -31,6 +32,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def valid_text(column: Column) -> Column:
+    """A column as a string whose bytes that are not UTF-8 are U+FFFD."""
+    return F.make_valid_utf8(column.cast("string"))
+
+
 def utf8(column: pa.Array) -> list:
     """A string column as ``bytes`` objects (null: ``None``)."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odgraph.llm.common import cut, slices, utf8
+from odgraph.llm.common import cut, slices, utf8, valid_text
 
 WINDOW = 10
 #: Words of benchmark text that one broadcast holds at most.
@@ -95,7 +95,7 @@ class WindowSet:
 def _blocks(bench: DataFrame, id_col: str, text_col: str, limit: int) -> tuple[DataFrame, int]:
     """The items with a block number; a block has about ``limit`` bytes / 6 words."""
     items = bench.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"),
-                         F.col(text_col).cast("string").alias("text")).where("text is not null")
+                         valid_text(F.col(text_col)).alias("text")).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + int(total // (6 * limit))
     return items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks))), blocks
@@ -163,7 +163,7 @@ def _scanned(docs: DataFrame, payload: list[str], text_col: str, bench: DataFram
     spark = docs.sparkSession
     items, blocks = _blocks(bench, item_col, item_text, max_words)
     state = docs.select(F.struct(*[F.col(f"`{c}`") for c in payload]).alias("payload"),
-                        F.col(text_col).cast("string").alias("text"),
+                        valid_text(F.col(text_col)).alias("text"),
                         F.lit(None).cast("binary").alias("marks"),
                         F.array().cast("array<string>").alias("items"))
     marked = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema.fields])
@@ -188,7 +188,8 @@ def scan(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: st
     in the document.  Null and empty texts have no words, items without words
     no window; a null item id is named ``null``; items that share an id are
     one item; an empty benchmark leaves every document clean.  Repeated
-    documents are scanned each, columns of other names are not read.
+    documents are scanned each, columns of other names are not read; bytes that
+    are not UTF-8 are U+FFFD, a part of words.
     """
     found = _scanned(docs, [id_col], text_col, bench, item_col, item_text, window, max_words, False)
     return found.select(F.col("payload")[id_col].alias(id_col), "n_words", "n_hit", "items")
@@ -201,7 +202,9 @@ def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", ite
     documents with more than ``max_hit_share`` of their words hit go.
 
     All columns stay as they are, except that a cut row's ``n_chars``, where
-    there is one, is counted again; rows without hits are unchanged.
+    there is one, is counted again; rows without hits are unchanged, but for bytes
+    that are not UTF-8, which become U+FFFD.  Null and empty texts have no words
+    and stay; repeated rows are treated each; an empty benchmark cuts nothing.
     """
     others = [c for c in docs.columns if c != text_col]
     found = _scanned(docs, others, text_col, bench, item_col, item_text, window, max_words, True)

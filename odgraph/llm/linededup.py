@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odgraph.llm.common import cut, slices, utf8
+from odgraph.llm.common import cut, slices, utf8, valid_text
 from odgraph.llm.components import connected_components
 
 FIELD = b"<*>"
@@ -86,7 +86,7 @@ def _named_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, lon
     """``(id, key, lines)`` of every row: ``key`` is the hash of the text, ``lines`` the
     leaf and name of each of its lines (null for blank ones) and the documents its
     template needs."""
-    text = F.col(text_col).cast("string")
+    text = valid_text(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
 
     def read(batches):
@@ -126,7 +126,7 @@ def _masked_lines(docs: DataFrame, text_col: str) -> DataFrame:
                     [pa.array([n[0] for n in named], pa.int64()), pa.array([n[1] for n in named], pa.string()),
                      pa.array([x.decode() for x in lines], pa.string())], ["leaf", "line", "masked"])
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return docs.select(valid_text(F.col(text_col)).alias("text")).mapInArrow(
         read, "leaf long, line string, masked string")
 
 
@@ -357,32 +357,34 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     unchanged; of the others the remaining lines are joined by line feeds.
     Null texts stay null and have no lines, blank lines are never dropped,
     documents with a null id are never first, rows that repeat an id lose the
-    same lines each, an empty table gives an empty result.
+    same lines each, an empty table gives an empty result; bytes that are not
+    UTF-8 are U+FFFD in what is compared and returned.
     """
     named = cut(_named_lines(docs, id_col, text_col, min_docs, long_words, long_docs), "line-names")
     drop = cut(_recurring(docs, named, text_col, similarity, limit), "line-drop")
-    text = F.col(text_col).cast("string")
-    key = F.xxhash64(text)
     places = named.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.posexplode("lines"))
     places = places.select("_id", "_key", "pos", F.col("col.line").alias("line")).where("line is not null")
     gone = (places.join(_listed(drop), "line").where(~F.col("_id").eqNullSafe(F.col("first_id")))
             .groupBy("_id", "_key").agg(F.collect_set("pos").alias("_gone")))
-    rows = docs.drop("n_lines", "n_dropped")
-    out = rows.withColumn("_text_key", key).join(
-        gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).alias("id"),
+                       F.xxhash64(valid_text(F.col(text_col))).alias("key"))
+    out = rows.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+    text = valid_text(F.col("row")[text_col])
     kept = _without(F.when(F.col("_gone").isNotNull(), text), F.col("_gone"))
     out = out.select(
-        *[F.col(f"`{c}`") for c in rows.columns if c != text_col],
-        F.when(F.col("_gone").isNull(), text).otherwise(kept).alias("_kept"),
+        "row", F.when(F.col("_gone").isNull(), text).otherwise(kept).alias("kept"),
         F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.array_size("_gone"), F.lit(0)).cast("long").alias("n_dropped"))
-    order = [F.col("_kept").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in rows.columns]
+    order = [F.col("kept").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names]
     return out.select(*order, "n_lines", "n_dropped")
 
 
 def without_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` after :func:`dedup_lines`, without documents of which only blank
-    lines are left; ``n_chars``, where there is one, is counted again for cut texts."""
+    lines are left; ``n_chars``, where there is one, is counted again for cut texts.
+    Null and empty texts, which have no line to lose, stay; rows that repeat an id
+    and empty tables are as in :func:`dedup_lines`."""
     out = dedup_lines(docs, id_col, text_col, **options)
     out = out.where((F.col("n_dropped") == 0) | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:

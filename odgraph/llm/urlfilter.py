@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odgraph.llm.common import valid_text
+
 ALLOW, BLOCK = "allow", "block"
 #: Largest entry list that is sent to every worker.
 MAX_RULES = 1_000_000
@@ -56,6 +58,7 @@ class RuleTrie:
             for segment in whole:
                 node = node.setdefault(("segment", segment), {})
             node.setdefault("ends", {})[begun] = (host + path, action)
+            node["longest"] = max(node.get("longest", 0), len(begun))
 
     @staticmethod
     def _path(node: dict, path: str):
@@ -64,9 +67,11 @@ class RuleTrie:
         for i, segment in enumerate(segments):
             ends = node.get("ends")
             if ends:
-                fits = [b for b in ends if segment.startswith(b)]
-                if fits:
-                    best = ends[max(fits, key=len)]
+                # the longest beginning of the segment among the entries, by lookups
+                for size in range(min(len(segment), node["longest"]), -1, -1):
+                    if segment[:size] in ends:
+                        best = ends[segment[:size]]
+                        break
             if i == len(segments) - 1:
                 break
             node = node.get(("segment", segment))
@@ -86,16 +91,14 @@ class RuleTrie:
         return best
 
 
-def url_verdict(url: Column, rules: Iterable[tuple[str, str, str]], default: str = ALLOW) -> Column:
+def url_verdict(spark: SparkSession, url: Column, rules: Iterable[tuple[str, str, str]], default: str = ALLOW) -> Column:
     """Struct ``(host, path, rule, verdict)`` of a url column.
 
     Without a fitting entry ``rule`` is null and ``verdict`` is ``default``.
     Null urls and urls without ``://`` have an empty host and path, which no
-    entry fits.  The trie is broadcast; its size is bounded by ``MAX_RULES``.
+    entry fits.  Bytes that are not UTF-8 are U+FFFD.  The trie is broadcast; its size is bounded by ``MAX_RULES``.
     """
-    from pyspark.sql import SparkSession
-
-    trie = SparkSession.getActiveSession().sparkContext.broadcast(RuleTrie(rules))
+    trie = spark.sparkContext.broadcast(RuleTrie(rules))
 
     @F.pandas_udf("host string, path string, rule string, verdict string")
     def judge(urls: pd.Series) -> pd.DataFrame:
@@ -107,18 +110,19 @@ def url_verdict(url: Column, rules: Iterable[tuple[str, str, str]], default: str
             rows.append((host, path, rule, action))
         return pd.DataFrame(rows, columns=["host", "path", "rule", "verdict"], dtype=object)
 
-    return judge(url.cast("string"))
+    return judge(valid_text(url))
 
 
 def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], id_col: str = "page_id",
                url_col: str = "url", default: str = ALLOW) -> DataFrame:
     """``(id, host, path, rule, verdict)`` for every row, repeated rows and
     null ids included; other columns are not read."""
-    judged = pages.select(F.col(id_col), url_verdict(F.col(url_col), rules, default).alias("j"))
+    judged = pages.select(F.col(id_col), url_verdict(pages.sparkSession, F.col(url_col), rules, default).alias("j"))
     return judged.select(id_col, "j.host", "j.path", "j.rule", "j.verdict")
 
 
 def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], url_col: str = "url",
                 default: str = ALLOW) -> DataFrame:
-    """The rows of ``pages`` whose verdict is ``allow``."""
-    return pages.where(url_verdict(F.col(url_col), rules, default)["verdict"] == ALLOW)
+    """The rows of ``pages`` whose verdict is ``allow``, null urls and repeated rows
+    like any other; an empty table gives an empty result."""
+    return pages.where(url_verdict(pages.sparkSession, F.col(url_col), rules, default)["verdict"] == ALLOW)
