@@ -73,3 +73,14 @@ def ntz_as_utc_instant(name: str) -> Column:
 def utc_day(c: str | Column) -> Column:
     """UTC calendar day (``yyyy-MM-dd``) of a TIMESTAMP instant, zone-independent."""
     return F.date_from_unix_date(F.floor(F.unix_micros(col(c)) / F.lit(86_400_000_000)).cast("int")).cast("string")
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Aggregate: Pearson correlation of the rows that have both values; NaN where
+    either value is the same in all of them, null without such rows.
+
+    ``corr`` itself divides by zero there, an error under ANSI rules.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.when(spread == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.covar_pop(x, y), spread))

@@ -25,6 +25,7 @@ import itertools
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from odgraph.functions.exprs import correlation
 from odgraph.graph import Graph
 from odgraph.operators.frontier import FrontierEdges, OnRound
 from odgraph.params import DEFAULTS, Params
@@ -310,12 +311,12 @@ def degree_vs_rank(degrees: DataFrame, ranks: DataFrame) -> DataFrame:
 
 
 def degree_rank_correlation(degrees: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Pearson correlation of total degree / strength with PageRank."""
+    """Pearson correlation of total degree / strength with PageRank; NaN where
+    all zones have one degree, strength or rank (every pair of zones an edge)."""
     j = degrees.join(ranks, "zone_id")
+    rank = F.col("pagerank")
     return j.agg(
-        F.corr((F.col("out_degree") + F.col("in_degree")).cast("double"), F.col("pagerank")).alias("degree_corr"),
-        F.corr((F.col("out_strength") + F.col("in_strength")).cast("double"), F.col("pagerank")).alias(
-            "strength_corr"
-        ),
+        correlation((F.col("out_degree") + F.col("in_degree")).cast("double"), rank).alias("degree_corr"),
+        correlation((F.col("out_strength") + F.col("in_strength")).cast("double"), rank).alias("strength_corr"),
         F.count(F.lit(1)).alias("num_zones"),
     )
