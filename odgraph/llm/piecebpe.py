@@ -28,7 +28,6 @@ count as U+FFFD.  Texts of any length are encoded whole.
 
 from __future__ import annotations
 
-import re
 import struct
 from array import array
 from collections import defaultdict
@@ -236,7 +235,7 @@ class Encoder:
         self.sizes, self.shorters = np.array(self.size), np.array(self.shorter)
         self.find = Matcher(self.texts)
         inner = any(BLANK in t.lstrip(BLANK) for t in ids)
-        self.cuts = None if inner else re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+        self.cutting = not inner
         # pairs of pieces whose border is known to stay or not: sorted keys and answers
         self.keys, self.fits = np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
         self.pairs: dict[int, bool] = {}
@@ -403,18 +402,35 @@ class Encoder:
         upto = np.append(0, np.cumsum(number[found[place]]))
         return flat, upto[np.searchsorted(place, ends - sizes)]
 
+    def parts(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The cuts of all texts with blanks as spaces, one after the other, and the
+        number of each text's.  A cut begins with the text or with a run of blanks."""
+        rows = [((" " if self.prefix else "") + t.replace(BLANK, " ")).encode() if t else b"" for t in texts]
+        data = np.frombuffer(b"".join(rows), dtype=np.uint8)
+        ends = np.cumsum([0] + [len(r) for r in rows])
+        starts = np.zeros(len(data) + 1, dtype=bool)
+        if self.cutting:
+            blank = data == 32
+            starts[1:-1] = blank[1:] & ~blank[:-1]
+        starts[ends] = True
+        at = np.flatnonzero(starts)
+        cuts = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data))
+        return cuts, np.diff(np.searchsorted(at, ends))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of each text's."""
-        texts = [(BLANK if self.prefix else "") + t.replace(" ", BLANK) if t else "" for t in texts]
-        parts = [self.cuts.findall(t) if self.cuts else [t] if t else [] for t in texts]
+        cuts, parts = self.parts(texts)
+        cuts = cuts.dictionary_encode()  # each different cut is looked up once
         known = len(self.memo)
-        which = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(parts)), dtype=np.int64)
+        words = cuts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        which = np.fromiter(map(self.memo.__getitem__, words), dtype=np.int64, count=len(words))
+        which = which[cuts.indices.to_numpy()]
         fresh, held, chars = [], [self.flat], 0
         firsts, size = [self.first[:-1]], len(self.flat)
 
         def settle():
             nonlocal fresh, size
-            flat, first = self.cut(fresh)
+            flat, first = self.cut([part.replace(" ", BLANK) for part in fresh])
             held.append(flat)
             firsts.append(first + size)
             size += len(flat)
@@ -433,19 +449,24 @@ class Encoder:
             self.flat, self.first = np.concatenate(held), np.concatenate([*firsts, [size]])
         ids, number = _spread(self.flat, self.first[:-1], np.diff(self.first), which)
         upto = np.append(0, np.cumsum(number))
-        ends = np.cumsum([0] + [len(p) for p in parts])
+        ends = np.cumsum(np.append(0, parts))
         if len(self.memo) > MEMO or self.chars > MEMO * MEMO_CHARS:
-            self._keep(np.unique(which))
+            self._keep(np.bincount(which, minlength=len(self.memo)))
         return ids, np.diff(upto[ends])
 
-    def _keep(self, used: np.ndarray):
-        """Forget all cuts but those of the last texts, and these as well if they are too many."""
+    def _keep(self, times: np.ndarray):
+        """Forget all cuts but those of the last texts, or, if they are too many, but those
+        that came several times in them, and these as well if they are too many."""
         words = list(self.memo)
-        words = [words[i] for i in used.tolist()]
-        if len(words) > MEMO // 2 or sum(map(len, words)) > MEMO * MEMO_CHARS // 2:
-            words, used = [], used[:0]
+        for least in (1, 2, 4, 8):
+            used = np.flatnonzero(times >= least)
+            kept = [words[i] for i in used.tolist()]
+            if len(kept) <= MEMO // 2 and sum(map(len, kept)) <= MEMO * MEMO_CHARS // 2:
+                break
+        else:
+            kept, used = [], used[:0]
         ids, number = _spread(self.flat, self.first[:-1], np.diff(self.first), used)
-        self._forget(words, ids, np.append(0, np.cumsum(number)))
+        self._forget(kept, ids, np.append(0, np.cumsum(number)))
 
 
 def _spread(flat: np.ndarray, first: np.ndarray, number: np.ndarray, which: np.ndarray):

@@ -97,3 +97,14 @@ def test_edge_rows(spark, library, vocabulary):
     assert piecebpe.decode(piecebpe.encode(docs.limit(0), vocabulary), vocabulary).collect() == []
     loose = spark.createDataFrame([(1, None), (2, []), (3, [None, 5])], "decoded int, ids array<int>")
     assert [r.decoded for r in piecebpe.decode(loose, vocabulary).collect()] == [None, "", vocabulary.unknown + "\x02"]
+
+
+def test_cuts_that_come_often_stay_in_a_full_memo(library, vocabulary, monkeypatch):
+    monkeypatch.setattr(piecebpe, "MEMO", 16)
+    encoder = piecebpe.Encoder(vocabulary)
+    texts = [" ".join(f"w{i}" for i in range(30)) + " the and the  and and", " ▁ two▁ parts  "]
+    want = library.encode(texts, num_threads=1)
+    for _ in range(3):
+        ids, number = encoder.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(number)[:-1])] == want
+        assert {" the", " and"} <= set(encoder.memo) and len(encoder.memo) <= 8
