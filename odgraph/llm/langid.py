@@ -24,6 +24,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -150,8 +151,8 @@ class Model:
         flat = np.frombuffer(b"".join(folded) + bytes(BLOCK), dtype=np.uint8)
         starts = np.repeat(np.cumsum(sizes) - sizes, number) + place * BLOCK
         lengths, owner = lengths[order], owner[order]
-        blocks = np.ascontiguousarray(
-            flat[starts[order][None, :] + np.arange(lengths[0] if len(lengths) else 0)[:, None]])
+        windows = np.lib.stride_tricks.sliding_window_view(flat, BLOCK)
+        blocks = np.ascontiguousarray(windows[starts[order]].T[:lengths[0]])
         names = list(parsers)
         counts = np.stack([
             np.bincount(owner, parser.phrases(blocks, lengths), minlength=len(rows))
@@ -197,8 +198,9 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                        ).drop("_text")
 
 
-def _identified(rows: DataFrame, model: Model) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` to rows whose last column is ``_text``."""
+def _identified(rows: DataFrame, model: Model, field: int | None = None) -> DataFrame:
+    """Adds ``lang_pred`` and ``score`` to rows whose text is the last column, or
+    the ``field`` of that struct."""
     from pyspark.sql import types as T
 
     held = rows.sparkSession.sparkContext.broadcast(model)
@@ -206,12 +208,14 @@ def _identified(rows: DataFrame, model: Model) -> DataFrame:
 
     def predict(batches):
         for batch in batches:
-            for part in slices(batch, last, 4 << 20):
-                found = held.value.predict([None if x is None else x.decode("utf-8", "replace") for x in utf8(part.column(last))])
+            text = batch.column(last) if field is None else pc.struct_field(batch.column(last), [field])
+            whole = pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, "_text"])
+            for part in slices(whole, last + 1, 4 << 20):
+                found = held.value.predict([None if x is None else x.decode("utf-8", "replace") for x in utf8(part.column(last + 1))])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([f[0] for f in found], pa.string()),
+                    [*part.columns[:-1], pa.array([f[0] for f in found], pa.string()),
                      pa.array([f[1] for f in found], pa.float64())],
-                    [*part.schema.names, "lang_pred", "score"])
+                    [*batch.schema.names, "lang_pred", "score"])
 
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
@@ -228,7 +232,12 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_s
     by one; an empty table stays empty; other columns may have any names; bytes
     that are not UTF-8 count as U+FFFD.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                       F.col(text_col).cast("string").alias("_text"))
-    clear = (F.col("score") >= min_score) | (F.char_length("_text") < min_chars)
-    return _identified(rows, model).where((F.col("lang_pred") != UNKNOWN) & clear).select("_row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    if dict(docs.dtypes).get(text_col) == "string":  # the text goes to Python once, within its row
+        text, field = F.col(f"_row.`{text_col}`"), docs.columns.index(text_col)
+    else:
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                           F.col(text_col).cast("string").alias("_text"))
+        text, field = F.col("_text"), None
+    clear = (F.col("score") >= min_score) | (F.char_length(text) < min_chars)
+    return _identified(rows, model, field).where((F.col("lang_pred") != UNKNOWN) & clear).select("_row.*")
